@@ -1,18 +1,16 @@
 """URL column expressions.
 
 Resolution of a link against its page follows RFC 3986 as Python's
-``urllib.parse.urljoin`` does. Absolute, network-path, root-relative,
-query-only, fragment-only and plain relative links resolve in JVM
-expressions; only links with ``.``/``..`` path segments (rare) go through an
-Arrow-batched pandas UDF, which receives nulls for every other row.
+``urllib.parse.urljoin`` does, entirely in JVM expressions: string
+functions for absolute, network-path, root-relative, query-only,
+fragment-only and plain relative links, and array higher-order functions
+for the (rare) paths with ``.``/``..`` segments.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- fixed values: patterns ---------------------------------------------------
 SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
@@ -24,34 +22,66 @@ NO_QUERY_RE = r"^([^?#]*)"
 # Directory of the base: everything up to the last slash of the path part.
 BASE_DIR_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(?:[^?#]*/)?)"
 DOT_SEGMENT_RE = r"(^|/)\.\.?(/|$|\?|#)"
+BASE_PATH_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
 PORT_RE = r":([^:\]]*)$"
-
-
-@F.pandas_udf(T.StringType())
-def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
-    from urllib.parse import urljoin
-    out = [None if (b is None or h is None) else urljoin(b, h)
-           for b, h in zip(base, href)]
-    return pd.Series(out, dtype=object)
+EDGE_CTRL_RE = r"^[\x00-\x20]+|[\x00-\x20]+$"
+
+
+def _remove_dots(base: Column, href: Column) -> Column:
+    """Merge a relative path with the base path and remove ``.``/``..``
+    segments (RFC 3986 §5.2, as ``urljoin`` does), with array
+    higher-order functions — no Python.
+
+    ``urljoin`` specifics kept: a non-root path joins the base directory and
+    drops empty inner segments; ``..`` above the root is ignored; a trailing
+    ``.``/``..`` leaves a trailing slash.
+    """
+    bpath = F.regexp_extract(base, BASE_PATH_RE, 1)
+    hpath = F.regexp_extract(href, r"^([^?#]*)", 1)
+    tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    bparts = F.split(bpath, "/")
+    bdir = F.when(F.element_at(bparts, -1) != "",
+                  F.slice(bparts, 1, F.greatest(F.size(bparts) - 1, F.lit(0)))) \
+        .otherwise(bparts)
+    hparts = F.split(hpath, "/")
+    merged = F.concat(bdir, hparts)
+    merged = F.filter(merged, lambda x, i: (i == 0) | (i == F.size(merged) - 1) | (x != ""))
+    segs = F.when(hpath.startswith("/"), hparts).otherwise(merged)
+    out = F.aggregate(
+        segs, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(x == ".", acc)
+        .otherwise(F.concat(acc, F.array(x))))
+    out = F.when(F.element_at(segs, -1).isin(".", ".."), F.concat(out, F.array(F.lit("")))) \
+        .otherwise(out)
+    path = F.array_join(out, "/")
+    path = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+    return F.concat(F.regexp_extract(base, ORIGIN_RE, 1), path, tail)
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """Absolute URL of ``href`` found on page ``base``."""
+    """Absolute URL of ``href`` found on page ``base``.
+
+    Leading/trailing control characters and spaces of the href are ignored,
+    as the URL parser does."""
+    raw = href
+    href = F.regexp_replace(href, EDGE_CTRL_RE, "")
     origin = F.regexp_extract(base, ORIGIN_RE, 1)
     scheme = F.regexp_extract(base, SCHEME_PART_RE, 1)
     base_nofrag = F.regexp_extract(base, NO_FRAGMENT_RE, 1)
     base_noquery = F.regexp_extract(base, NO_QUERY_RE, 1)
     base_dir = F.regexp_extract(base, BASE_DIR_RE, 1)
-    dotted = href.rlike(DOT_SEGMENT_RE)
-    slow = (~href.rlike(SCHEME_RE)) & (~href.startswith("//")) & dotted
-    fallback = _urljoin_udf(F.when(slow, base), F.when(slow, href))
+    relative = (~href.rlike(SCHEME_RE)) & (~href.startswith("//"))
+    dotted = relative & (href.rlike(DOT_SEGMENT_RE)
+                         | (~href.startswith("/") & href.rlike(r"^[^?#]*//")))
     base_has_path = base_dir.endswith("/")
     return (
         F.when(href.isNull(), F.lit(None).cast("string"))
+        .when(raw == "", base)
+        .when(href == "", base_nofrag)
         .when(href.rlike(SCHEME_RE), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(slow, fallback)
-        .when(href == "", base)
+        .when(dotted, _remove_dots(base, href))
         .when(href.startswith("/"), F.concat(origin, href))
         .when(href.startswith("?"), F.concat(base_noquery, href))
         .when(href.startswith("#"), F.concat(base_nofrag, href))

@@ -99,16 +99,20 @@ def url_graph(pages: DataFrame, symmetric: bool = False):
     ``symmetric`` adds every edge reversed (target → page, same weight):
     rank then flows page → target → page, so pages are ranked by the
     targets they share without ever pairing pages (no co-link self-join).
-    Returns ``(edges(src, dst, n), nodes(node))``.
+    Returns ``(edges(src, dst, n), pages(node))``; the node set is the pages
+    plus every edge end.
     """
     counts = link_counts(pages, strict=True).where(F.col("src") != F.col("dst"))
     if symmetric:
-        rev = counts.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-        counts = (counts.unionByName(rev).groupBy("src", "dst")
-                  .agg(F.sum("n").alias("n")))
-    nodes = (pages.select(F.col("url").alias("node"))
-             .unionByName(counts.select(F.col("dst").alias("node")))
-             .distinct())
+        # both directions from one pass over the counts (a generator, not a
+        # union of two scans)
+        both = F.explode(F.array(
+            F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), "n"),
+            F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), "n")))
+        counts = (counts.select(both.alias("e"))
+                  .groupBy(F.col("e.a").alias("src"), F.col("e.b").alias("dst"))
+                  .agg(F.sum("e.n").alias("n")))
+    nodes = pages.select(F.col("url").alias("node"))
     return counts, nodes
 
 

@@ -119,3 +119,27 @@ def field_stats(spark: SparkSession, sf: str) -> DataFrame:
 @register("search_bm25", sql=ranked_sql(title_hits_sql("bm25")))
 def search_bm25(spark: SparkSession, sf: str) -> DataFrame:
     return SE.search(title_query_table(spark, sf), title_index(spark, sf), mode="bm25")
+
+
+def _ranks(spark: SparkSession, sf: str) -> DataFrame:
+    from quarry.plans.graph import page_ranks
+    return page_ranks(spark, sf)
+
+
+def _ranks_sql() -> str:
+    from quarry.plans.graph import page_ranks_sql
+    return page_ranks_sql()
+
+
+@register("search_pagerank", sql=ranked_sql(title_hits_sql("pagerank", _ranks_sql())))
+def search_pagerank(spark: SparkSession, sf: str) -> DataFrame:
+    """PageRank-only scoring (added once per matching term)."""
+    return SE.search(title_query_table(spark, sf), title_index(spark, sf),
+                     mode="pagerank", ranks=_ranks(spark, sf))
+
+
+@register("search_both", sql=ranked_sql(title_hits_sql("both", _ranks_sql())))
+def search_both(spark: SparkSession, sf: str) -> DataFrame:
+    """100000 * pagerank + 1.5 * bm25 per matching term."""
+    return SE.search(title_query_table(spark, sf), title_index(spark, sf),
+                     mode="both", ranks=_ranks(spark, sf))
