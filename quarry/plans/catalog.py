@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.plans import corpus, graph, searching  # noqa: F401  (registration)
+from quarry.plans import corpus, dictionary, graph, searching  # noqa: F401  (registration)
 from quarry.plans.registry import ORACLES, QUERIES
 
 
