@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import html as H
-from quarry.functions.constants import BM25_B, BM25_K1, PAGE_LEN, SCORE_WEIGHTS
+from quarry.functions.constants import (BM25_B, BM25_K1, FAILED_STATUS, PAGE_LEN,
+                                       REDIRECT_PREFIX, SCORE_WEIGHTS)
 from quarry.operators import index as IX
 from quarry.operators import search as SE
 from quarry.plans import sqlfrag as Q
@@ -30,6 +31,11 @@ def title_query_table(spark: SparkSession, sf: str) -> DataFrame:
 
 # -------------------------------------------------------------- oracle SQL --
 
+def _resolved_sql() -> str:
+    from quarry.plans.corpus import RESOLVED_SQL
+    return RESOLVED_SQL
+
+
 TITLE_FIELDS_SQL = f"""
 SELECT page_id, url, coalesce({Q.index_title('html')}, '') AS title FROM pages"""
 
@@ -143,3 +149,180 @@ def search_both(spark: SparkSession, sf: str) -> DataFrame:
     """100000 * pagerank + 1.5 * bm25 per matching term."""
     return SE.search(title_query_table(spark, sf), title_index(spark, sf),
                      mode="both", ranks=_ranks(spark, sf))
+
+
+# ----------------------------------------------------- paging and top-n ----
+
+@register("search_topn", sql=f"""
+SELECT query_id, url, rank FROM ({ranked_sql(title_hits_sql("bm25"))}) WHERE rank <= {PAGE_LEN}""")
+def search_topn(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 10 hits per query (a WindowGroupLimit plan)."""
+    return SE.top_n(search_bm25(spark, sf), PAGE_LEN).select("query_id", "url", "rank")
+
+
+@register("result_page", sql=f"""
+SELECT query_id, CAST(ceil(rank / {PAGE_LEN}) AS INTEGER) AS page_no,
+       count(*) OVER (PARTITION BY query_id) AS total, url, rank
+FROM ({ranked_sql(title_hits_sql("bm25"))})""")
+def result_page(spark: SparkSession, sf: str) -> DataFrame:
+    """Every hit with its page number and the query's total."""
+    return (SE.with_pages(search_bm25(spark, sf))
+            .select("query_id", "page_no", "total", "url", "rank"))
+
+
+# ------------------------------------------------- expansion and upgrade ----
+
+def page_entries(spark: SparkSession, sf: str) -> DataFrame:
+    from quarry.operators import suggest as SG
+    d = SG.title_dictionary(S.pages(spark, sf))
+    return d.select(F.col("title").alias("key"), "title", "weight")
+
+
+def expanded_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Each query becomes (its whole-string suggestions, each an AND
+    group in the title field) OR (the query as an AND group in content).
+    ``(query_id, group_id, field, text)``; the content group is number 3."""
+    from quarry.operators import suggest as SG
+    q = title_query_table(spark, sf)
+    sugg = SG.suggestion_groups(q, page_entries(spark, sf))
+    content = q.select("query_id", F.lit(3).alias("group_id"),
+                       F.lit("content").alias("field"), F.col("query").alias("text"))
+    return sugg.unionByName(content)
+
+
+def expanded_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return SE.analyze_groups(expanded_groups(spark, sf), stem=False)
+
+
+def both_fields_index(spark: SparkSession, sf: str) -> IX.Index:
+    return IX.build_index(S.pages(spark, sf), stem=False)
+
+
+def page_entries_sql() -> str:
+    from quarry.functions.constants import POPULARITY_FALLBACK as FB
+    pop = (f"TRY_CAST(substring({Q.strip_ws(f'regexp_extract(html, {Q.lit(H.POPULARITY_RE)}, 1)')}, 2) "
+           f"AS INTEGER)")
+    return f"""
+SELECT title AS key, title, arg_max(weight, page_id) AS weight FROM (
+  SELECT page_id, {Q.clean_title(Q.raw_title('html'))} AS title,
+         {FB} - coalesce({pop}, {FB}) AS weight FROM pages)
+WHERE title IS NOT NULL GROUP BY title"""
+
+
+def expanded_sql() -> str:
+    """Oracle rows (query_id, group_id, field, term) of the expanded queries."""
+    from quarry.plans.dictionary import brute_suggest_sql
+    frag = f"SELECT page_id AS fragment_id, {Q.index_title('html')} AS fragment FROM pages"
+    sugg = brute_suggest_sql(frag, entries_sql=page_entries_sql())
+    return f"""
+WITH g AS (
+  SELECT fragment_id AS query_id, rank - 1 AS group_id, 'title' AS field, title AS text
+  FROM ({sugg})
+  UNION ALL
+  SELECT page_id, 3, 'content', {Q.index_title('html')} FROM pages
+  WHERE {Q.index_title('html')} IS NOT NULL),
+r AS (SELECT DISTINCT query_id, group_id, field, term FROM (
+  SELECT query_id, group_id, field,
+         unnest(CASE WHEN field = 'title' THEN {Q.word_tokens('text')}
+                     ELSE {Q.content_tokens('text')} END) AS term FROM g)),
+sig AS (SELECT query_id, group_id, field, list_sort(list(term)) AS sig FROM r
+        GROUP BY query_id, group_id, field),
+keep AS (SELECT query_id, min(group_id) AS group_id FROM sig GROUP BY query_id, field, sig)
+SELECT r.query_id, CAST(r.group_id AS INTEGER) AS group_id, r.field, r.term
+FROM r JOIN keep ON keep.query_id = r.query_id AND keep.group_id = r.group_id"""
+
+
+def expanded_hits_sql() -> str:
+    """Per (query, url) BM25 scores of the expanded queries (both fields)."""
+    post = f"""
+SELECT 'title' AS field, term, url, tf, len FROM ({TITLE_POSTINGS_SQL})
+UNION ALL SELECT 'content', term, url, tf, len FROM ({CONTENT_POSTINGS_SQL})"""
+    return f"""
+WITH post AS ({post}),
+dfq AS (SELECT field, term, count(*) AS df FROM post GROUP BY field, term),
+st AS (SELECT field, (SELECT count(*) FROM pages) AS n, sum(len) / (SELECT count(*) FROM pages) AS avg_len
+       FROM (SELECT DISTINCT field, url, len FROM post) GROUP BY field),
+q AS ({expanded_sql()}),
+qn AS (SELECT query_id, group_id, field, count(*) AS n_terms FROM q GROUP BY ALL),
+m AS (SELECT q.query_id, q.group_id, p.url, count(*) AS n_hit,
+             sum({bm25_sql('ln(st.n / (dfq.df + 1)) + 1', 'p.tf', 'p.len', 'st.avg_len')}) AS s
+      FROM q JOIN post p ON p.field = q.field AND p.term = q.term
+      JOIN dfq ON dfq.field = q.field AND dfq.term = q.term JOIN st ON st.field = q.field
+      GROUP BY q.query_id, q.group_id, p.url)
+SELECT m.query_id, m.url, round(sum(1.5 * m.s), 6) AS score
+FROM m JOIN qn ON qn.query_id = m.query_id AND qn.group_id = m.group_id
+WHERE m.n_hit = qn.n_terms
+GROUP BY m.query_id, m.url"""
+
+
+@register("expanded_queries", sql=expanded_sql())
+def expanded_queries(spark: SparkSession, sf: str) -> DataFrame:
+    t = expanded_terms(spark, sf)
+    return t.select("query_id", F.col("group_id").cast("int").alias("group_id"), "field", "term")
+
+
+@register("search_expanded", sql=ranked_sql(expanded_hits_sql()))
+def search_expanded(spark: SparkSession, sf: str) -> DataFrame:
+    """``(suggestions) OR content:(query)`` scored with BM25."""
+    return SE.search_terms(expanded_terms(spark, sf), both_fields_index(spark, sf), mode="bm25")
+
+
+@register("search_upgrade", sql=f"""
+WITH a AS ({ranked_sql(expanded_hits_sql())}),
+b AS ({ranked_sql(title_hits_sql("bm25"))}),
+m AS (SELECT a.query_id, a.url, a.rank, b.url IS NOT NULL AS exact
+      FROM a LEFT JOIN (SELECT DISTINCT query_id, url FROM b) b
+      ON a.query_id = b.query_id AND a.url = b.url)
+SELECT query_id, url, exact,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY exact DESC, rank) AS INTEGER) AS rank
+FROM m""")
+def search_upgrade(spark: SparkSession, sf: str) -> DataFrame:
+    """Expanded results with the plain title hits moved first."""
+    ix = both_fields_index(spark, sf)
+    a = SE.search_terms(expanded_terms(spark, sf), ix, mode="bm25")
+    b = SE.search(title_query_table(spark, sf), ix, mode="bm25", stem=False)
+    return SE.upgrade(a, b)
+
+
+@register("result_view", sql=f"""
+WITH h AS ({ranked_sql(title_hits_sql("bm25"))}),
+img AS (SELECT url, image_url FROM (
+  SELECT url, coalesce(nullif(regexp_extract(html, {Q.lit(H.OG_IMAGE_RE)}, 1), ''),
+                       nullif(regexp_extract(html, {Q.lit(H.OG_IMAGE_REV_RE)}, 1), '')) AS image_url
+  FROM pages) WHERE image_url IS NOT NULL),
+d AS ({TITLE_FIELDS_SQL})
+SELECT h.query_id, h.rank, d.title, {Q.lit(REDIRECT_PREFIX)} || h.url AS link, img.image_url
+FROM h LEFT JOIN d ON d.url = h.url LEFT JOIN img ON img.url = h.url
+WHERE h.rank <= {PAGE_LEN}""")
+def result_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The first page of every query with title, redirect link, image."""
+    from quarry.operators import view as V
+    pages = S.pages(spark, sf)
+    hits = SE.top_n(search_bm25(spark, sf), PAGE_LEN)
+    docs = IX.page_fields(pages).select("url", "title")
+    images = pages.select("url", H.og_image(F.col("html")).alias("image_url")) \
+        .where(F.col("image_url").isNotNull())
+    return V.result_view(hits, docs, images)
+
+
+def _codes_sql() -> str:
+    from quarry.operators.view import HTTP_CODES
+    return " UNION ALL ".join(f"SELECT {c} AS status, {Q.lit(t)} AS description" for c, t in HTTP_CODES)
+
+
+@register("link_health", sql=f"""
+WITH u AS (SELECT DISTINCT dst AS url FROM ({_resolved_sql()})),
+s AS (SELECT DISTINCT url, 200 AS status FROM pages),
+c AS ({_codes_sql()}),
+j AS (SELECT u.url, CAST(coalesce(s.status, {FAILED_STATUS}) AS INTEGER) AS status
+      FROM u LEFT JOIN s ON s.url = u.url)
+SELECT j.url, j.status, j.status = 200 AS ok, c.description FROM j LEFT JOIN c ON c.status = j.status""")
+def link_health(spark: SparkSession, sf: str) -> DataFrame:
+    """F8: health of every link target; a target that is a stored page is
+    known good (200); any other has no successful fetch and counts as 400."""
+    from quarry.operators import links as L
+    from quarry.operators import view as V
+    pages = S.pages(spark, sf)
+    urls = L.resolved_links(pages).select(F.col("dst").alias("url")).distinct()
+    statuses = pages.select("url", F.lit(200).alias("status")).distinct()
+    return V.link_health(urls, statuses)
