@@ -12,3 +12,19 @@ def queries():
 
 def oracle_sql():
     return {k: v.strip() for k, v in ORACLES.items() if k in QUERIES}
+
+
+def flagship(spark, sf_dir):
+    """Combined BM25 + PageRank search of every page title; the first page of
+    results of each query with title and URL."""
+    from pyspark.sql import functions as F
+
+    from quarry.operators import index as IX
+    from quarry.operators import search as SE
+    from quarry.plans.searching import search_both
+    from quarry.sources import tables as S
+
+    hits = SE.top_n(search_both(spark, sf_dir), 10)
+    docs = IX.page_fields(S.pages(spark, sf_dir)).select("url", "title")
+    return (hits.join(docs, "url", "left")
+            .select("query_id", "rank", "title", "url", F.col("score").alias("score")))
