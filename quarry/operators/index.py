@@ -49,22 +49,26 @@ def field_terms(fields: DataFrame, stem: bool = True,
 
     The title uses the simple analyzer; the content the stemming analyzer
     (stop words, minimum length, Porter). ``stem=False`` keeps the stop
-    filter but leaves terms unstemmed (for engines without a stemmer).
+    filter but leaves terms unstemmed (for engines without a stemmer). Only
+    the content branch reaches the (Arrow-batched) stemmer.
     """
-    title = fields.select(F.lit("title").alias("field"), "url",
+    parts = []
+    if "title" in which:
+        t = fields.select(F.lit("title").alias("field"), "url",
                           TX.word_tokens(F.col("title")).alias("toks"))
-    content = fields.select(F.lit("content").alias("field"), "url",
-                            TX.content_tokens(F.col("content")).alias("toks"))
-    parts = [df for name, df in (("title", title), ("content", content)) if name in which]
-    both = parts[0]
+        parts.append(t.select("field", "url", F.size("toks").alias("len"),
+                              F.explode("toks").alias("term")))
+    if "content" in which:
+        c = fields.select(F.lit("content").alias("field"), "url",
+                          TX.content_tokens(F.col("content")).alias("toks"))
+        c = c.select("field", "url", F.size("toks").alias("len"),
+                     F.explode("toks").alias("term"))
+        if stem:
+            c = c.withColumn("term", stem_col(F.col("term")))
+        parts.append(c)
+    out = parts[0]
     for extra in parts[1:]:
-        both = both.unionByName(extra)
-    both = both.withColumn("len", F.size("toks"))
-    out = both.select("field", "url", "len", F.explode("toks").alias("term"))
-    if stem:
-        # Title rows reach the UDF as nulls, so Python stems content only.
-        stemmed = stem_col(F.when(F.col("field") == "content", F.col("term")))
-        out = out.withColumn("term", F.coalesce(stemmed, F.col("term")))
+        out = out.unionByName(extra)
     return out
 
 

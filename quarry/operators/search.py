@@ -32,20 +32,25 @@ from quarry.operators.index import Index
 # query rows
 # ---------------------------------------------------------------------------
 
-def analyze_groups(groups: DataFrame, stem: bool = True) -> DataFrame:
+def analyze_groups(groups: DataFrame, stem: bool = True,
+                   dedup_groups: bool = True) -> DataFrame:
     """(query_id, group_id, field, text) → (query_id, group_id, field, term).
 
     Each field's analyzer is applied to its text, as the query parser does.
-    Identical groups of a query (same field, same term set) count once.
+    Identical groups of a query (same field, same term set) count once
+    (``dedup_groups=False`` when every query has a single group).
     """
-    toks = F.when(F.col("field") == "title", TX.word_tokens(F.col("text"))) \
-        .otherwise(TX.content_tokens(F.col("text")))
-    rows = groups.select("query_id", "group_id", "field",
-                         F.explode(toks).alias("term"))
-    if stem:
-        stemmed = stem_col(F.when(F.col("field") == "content", F.col("term")))
-        rows = rows.withColumn("term", F.coalesce(stemmed, F.col("term")))
-    rows = rows.distinct()
+    title = (groups.where(F.col("field") == "title")
+             .select("query_id", "group_id", "field",
+                     F.explode(TX.word_tokens(F.col("text"))).alias("term")))
+    content = (groups.where(F.col("field") == "content")
+               .select("query_id", "group_id", "field",
+                       F.explode(TX.content_tokens(F.col("text"))).alias("term")))
+    if stem:  # only content terms reach the stemmer
+        content = content.withColumn("term", stem_col(F.col("term")))
+    rows = title.unionByName(content).distinct()
+    if not dedup_groups:
+        return rows
     # drop duplicate groups: same field and term set within one query
     sig = (rows.groupBy("query_id", "group_id", "field")
            .agg(F.array_sort(F.collect_list("term")).alias("sig")))
@@ -137,7 +142,8 @@ def rank_hits(hits: DataFrame) -> DataFrame:
 def search(queries: DataFrame, index: Index, mode: str = "bm25",
            ranks: DataFrame | None = None, stem: bool = True) -> DataFrame:
     """Plain queries ``(query_id, query)`` → ``(query_id, url, score, rank)``."""
-    qterms = analyze_groups(title_queries(queries), stem=stem)
+    # one title group per query: the title analyzer never stems
+    qterms = analyze_groups(title_queries(queries), stem=False, dedup_groups=False)
     return search_terms(qterms, index, mode, ranks)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.plans import corpus, crawl, dictionary, graph, logs, searching  # noqa: F401  (registration)
+from quarry.plans import corpus, crawl, dictionary, graph, logs, related_q, searching  # noqa: F401  (registration)
 from quarry.plans.registry import ORACLES, QUERIES
 
 
