@@ -39,12 +39,13 @@ def resolved_links(pages: DataFrame, strict: bool = False) -> DataFrame:
                     U.resolve(F.col("url"), F.col("href")).alias("dst")))
 
 
-def doc_ids(pages: DataFrame) -> DataFrame:
+def doc_ids(pages: DataFrame, digest=None) -> DataFrame:
     """File name per stored URL — SHA-256 + ``.html``; the second URL
     with the same digest gets ``_0``, the third ``_1`` …; a URL seen again is
-    not stored again (the first arrival, lowest page_id, keeps it)."""
+    not stored again (the first arrival, lowest page_id, keeps it).
+    ``digest`` replaces SHA-256 (tests force collisions with it)."""
     firsts = pages.groupBy("url").agg(F.min("page_id").alias("first_id"))
-    h = firsts.withColumn("hash", U.doc_hash(F.col("url")))
+    h = firsts.withColumn("hash", digest(F.col("url")) if digest else U.doc_hash(F.col("url")))
     # digest groups hold one URL unless SHA-256 collides: the window is tiny
     w = Window.partitionBy("hash").orderBy("first_id")
     rn = F.row_number().over(w)

@@ -12,12 +12,28 @@ the watermark passes its end, and its state is then dropped.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_UNITS_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
+             "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def strict_gap(gap: str) -> str:
+    """``session_window`` joins an event arriving exactly ``gap`` after the
+    previous one to its session; a pause of exactly the quiet time must start
+    a new burst, so the window gap is one microsecond (the timestamp
+    resolution) shorter."""
+    m = re.fullmatch(r"\s*(\d+)\s*(microsecond|millisecond|second|minute|hour|day)s?\s*", gap)
+    if not m:
+        raise ValueError(f"gap must look like '10 minutes', got {gap!r}")
+    return f"{int(m.group(1)) * _UNITS_US[m.group(2)] - 1} microseconds"
+
 
 def _sessions(events: DataFrame, gap: str) -> DataFrame:
-    return (events.groupBy("user_id", F.session_window("ts", gap).alias("w"))
+    return (events.groupBy("user_id", F.session_window("ts", strict_gap(gap)).alias("w"))
             .agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type"))
             .select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start_ts"),
                     "event_type"))
