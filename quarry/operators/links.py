@@ -122,10 +122,12 @@ def part_graph(lineitem: DataFrame) -> DataFrame:
     next line's part (order by line number, then part key); self edges
     dropped. ``(src, dst, n)`` as BIGINT node ids.
 
-    The window is per order — orders are small, bounded groups."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-    steps = (lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-             .withColumn("nxt", F.lead("l_partkey").over(w))
+    The next line comes from a global sort and an equi-join on position
+    (``sequence.next_in_group``), not a window per order, so an order with a
+    huge number of lines is still cut over many tasks."""
+    from quarry.operators.sequence import next_in_group
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    steps = (next_in_group(li, ["l_orderkey"], ["l_linenumber", "l_partkey"], "l_partkey", "nxt")
              .where(F.col("nxt").isNotNull() & (F.col("nxt") != F.col("l_partkey"))))
     return (steps.groupBy(F.col("l_partkey").alias("src"), F.col("nxt").alias("dst"))
             .agg(F.count(F.lit(1)).alias("n")))

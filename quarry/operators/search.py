@@ -133,10 +133,15 @@ def score(matches: DataFrame, mode: str = "both",
 
 
 def rank_hits(hits: DataFrame) -> DataFrame:
-    """W1 / pin P9: rank by score, ties by url; scores rounded (P10)."""
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("url"))
-    return (hits.withColumn("score", F.round("score", 6))
-            .withColumn("rank", F.row_number().over(w)))
+    """W1 / pin P9: rank all hits by score, ties by url; scores rounded (P10).
+
+    Ranks come from a global sort on (query, score desc, url) numbered per
+    partition (``sequence.group_rank``): a query matching a third of the
+    corpus is sorted by many tasks, not by one window partition."""
+    from quarry.operators.sequence import group_rank
+    r = group_rank(hits.withColumn("score", F.round("score", 6)), ["query_id"],
+                   [F.desc("score"), F.asc("url")], "rank")
+    return r.withColumn("rank", F.col("rank").cast("int")).drop("_gpos")
 
 
 def search(queries: DataFrame, index: Index, mode: str = "bm25",
@@ -155,11 +160,19 @@ def search_terms(qterms: DataFrame, index: Index, mode: str = "bm25",
 
 def top_n(ranked: DataFrame, n: int) -> DataFrame:
     """The first ``n`` hits per query (repeatable stand-in for the
-    time-limited collector). The rank filter becomes a WindowGroupLimit, so
-    each map task keeps only its top ``n`` per query before the shuffle."""
+    time-limited collector)."""
     return ranked.where(F.col("rank") <= n)
 
 
+def top_hits(hits: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` hits per query straight from scores: a rank-limited
+    window, which Spark plans as a partial WindowGroupLimit per task before
+    the shuffle — a hot query sends at most ``n`` rows per task."""
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("url"))
+    return (hits.withColumn("score", F.round("score", 6))
+            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n))
+
+
 # ---------------------------------------------------------------------------
 # paging (W2, W3, A15)
 # ---------------------------------------------------------------------------
