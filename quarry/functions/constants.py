@@ -52,6 +52,14 @@ SUGGEST_SIZE = 3
 # Related results: seeds taken from the top hits and queries per seed.
 RELATED_K = 2
 
+# Related searches run time-limited in the reference (partial results); the
+# repeatable stand-in keeps each related query's first page of hits.
+RELATED_LIMIT = 10
+
+# Word-vector training: epochs and parallel workers.
+W2V_EPOCHS = 3
+W2V_WORKERS = 8
+
 # Crawl delay default (seconds) when robots give none.
 DEFAULT_CRAWL_DELAY = 3.0
 
