@@ -207,21 +207,48 @@ def page_slice(ranked: DataFrame, requests: DataFrame,
 
 def upgrade(a: DataFrame, b: DataFrame) -> DataFrame:
     """Reorder ``a`` so documents also in ``b`` come first; the order
-    inside each part is ``a``'s. Returns ``(query_id, url, exact, rank)``."""
+    inside each part is ``a``'s. Returns ``(query_id, url, exact, rank)``.
+    Re-ranking uses the sort-based ``group_rank`` (a hot query is split)."""
+    from quarry.operators.sequence import group_rank
     bb = b.select("query_id", "url").distinct().withColumn("exact", F.lit(True))
     m = (a.join(bb, ["query_id", "url"], "left")
          .withColumn("exact", F.coalesce(F.col("exact"), F.lit(False))))
-    w = Window.partitionBy("query_id").orderBy(F.desc("exact"), F.asc("rank"))
-    return m.select("query_id", "url", "exact", F.row_number().over(w).alias("rank"))
+    r = group_rank(m.select("query_id", "url", "exact", F.col("rank").alias("_a")),
+                   ["query_id"], [F.desc("exact"), F.asc("_a")], "rank")
+    return r.select("query_id", "url", "exact", F.col("rank").cast("int").alias("rank"))
+
 
+def upgraded_search(hits_a: DataFrame, matches_b: DataFrame) -> DataFrame:
+    """X9/J8 in one ranking: ``hits_a(query_id, url, score)`` unranked, and
+    the documents matching the plain query ``matches_b(query_id, url)``.
+    Ranking A by (in B first, score desc, url) equals ranking A and then
+    upgrading it with B — without ranking either list separately, and B is
+    only a set."""
+    from quarry.operators.sequence import group_rank
+    bb = matches_b.select("query_id", "url").distinct().withColumn("exact", F.lit(True))
+    m = (hits_a.withColumn("score", F.round("score", 6))
+         .join(bb, ["query_id", "url"], "left")
+         .withColumn("exact", F.coalesce(F.col("exact"), F.lit(False))))
+    r = group_rank(m, ["query_id"], [F.desc("exact"), F.desc("score"), F.asc("url")], "rank")
+    return r.select("query_id", "url", "exact", F.col("rank").cast("int").alias("rank"))
 
-def upgrade_and_extend(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(a∩b in a's order), (a∖b in a's order), (b∖a in b's order)."""
+
+def upgrade_and_extend(a: DataFrame, b: DataFrame, bounded: bool = False) -> DataFrame:
+    """(a∩b in a's order), (a∖b in a's order), (b∖a in b's order).
+
+    ``bounded=True`` when both lists hold a bounded number of rows per query
+    (e.g. first pages): the re-rank is then a window over that bound;
+    otherwise the sort-based ``group_rank`` splits a hot query."""
     aa = a.select("query_id", "url", F.col("rank").alias("ra"))
     bb = b.select("query_id", "url", F.col("rank").alias("rb"))
     m = aa.join(bb, ["query_id", "url"], "full_outer")
+    from quarry.operators.sequence import group_rank
     part = (F.when(F.col("ra").isNotNull() & F.col("rb").isNotNull(), 0)
             .when(F.col("ra").isNotNull(), 1).otherwise(2))
     key = F.when(part < 2, F.col("ra")).otherwise(F.col("rb"))
-    w = Window.partitionBy("query_id").orderBy(part, key)
-    return m.select("query_id", "url", F.row_number().over(w).alias("rank"))
+    m = m.select("query_id", "url", part.alias("_part"), key.alias("_key"))
+    if bounded:
+        w = Window.partitionBy("query_id").orderBy("_part", "_key", "url")
+        return m.select("query_id", "url", F.row_number().over(w).alias("rank"))
+    r = group_rank(m, ["query_id"], ["_part", "_key", "url"], "rank")
+    return r.select("query_id", "url", F.col("rank").cast("int").alias("rank"))

@@ -279,9 +279,11 @@ FROM m""")
 def search_upgrade(spark: SparkSession, sf: str) -> DataFrame:
     """Expanded results with the plain title hits moved first."""
     ix = both_fields_index(spark, sf)
-    a = SE.search_terms(expanded_terms(spark, sf), ix, mode="bm25")
-    b = SE.search(title_query_table(spark, sf), ix, mode="bm25", stem=False)
-    return SE.upgrade(a, b)
+    a = SE.score(SE.match_groups(expanded_terms(spark, sf), ix), "bm25")
+    plain = SE.analyze_groups(SE.title_queries(title_query_table(spark, sf)),
+                              stem=False, dedup_groups=False)
+    b = SE.match_groups(plain, ix).select("query_id", "url")
+    return SE.upgraded_search(a, b)
 
 
 @register("result_view", sql=f"""
