@@ -66,14 +66,24 @@ def resolve(base: Column, href: Column) -> Column:
     as the URL parser does."""
     raw = href
     href = F.regexp_replace(href, EDGE_CTRL_RE, "")
+    # "//" with an empty authority is a path reference ("///a" is "/a")
+    href = F.when(href.startswith("//") & ~href.rlike(r"^//[^/?#]"),
+                  F.substring(href, 3, 1 << 30)).otherwise(href)
     origin = F.regexp_extract(base, ORIGIN_RE, 1)
     scheme = F.regexp_extract(base, SCHEME_PART_RE, 1)
     base_nofrag = F.regexp_extract(base, NO_FRAGMENT_RE, 1)
     base_noquery = F.regexp_extract(base, NO_QUERY_RE, 1)
     base_dir = F.regexp_extract(base, BASE_DIR_RE, 1)
     relative = (~href.rlike(SCHEME_RE)) & (~href.startswith("//"))
-    dotted = relative & (href.rlike(DOT_SEGMENT_RE)
-                         | (~href.startswith("/") & href.rlike(r"^[^?#]*//")))
+    hpath = F.regexp_extract(href, r"^([^?#]*)", 1)
+    bpath = F.regexp_extract(base, BASE_PATH_RE, 1)
+    path_ref = relative & (hpath != "")
+    merges_base = path_ref & ~hpath.startswith("/")
+    # dot segments to remove, or (for a merge with the base path) empty
+    # segments to drop, in the href or in the base path it is merged with
+    dotted = path_ref & (hpath.rlike(DOT_SEGMENT_RE)
+                         | (merges_base & hpath.contains("//"))
+                         | (merges_base & (bpath.rlike(DOT_SEGMENT_RE) | bpath.contains("//"))))
     base_has_path = base_dir.endswith("/")
     return (
         F.when(href.isNull(), F.lit(None).cast("string"))

@@ -62,7 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the bench) gets a fresh folder of its own. A cluster session without it
     is an error: a machine-local folder would not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no driver-side context (remote session): server decides
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
