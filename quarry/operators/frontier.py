@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions import urls as U
 from quarry.functions.constants import DEFAULT_CRAWL_DELAY
 from quarry.operators import sequence as SQ
+from quarry.session import ensure_checkpoint_dir
 
 ROBOTS_SCHEMA = "domain string, seq int, allow boolean, prefix string"
 DELAY_SCHEMA = "domain string, crawl_delay double, req_seconds double, req_count int"
@@ -73,8 +74,12 @@ def frontier(links: DataFrame, seen: DataFrame, rules: DataFrame,
              .agg(F.min(F.struct("page_id", "pos", "url")).alias("d"))
              .select("url", F.col("d.page_id").alias("page_id"), F.col("d.pos").alias("pos"),
                      F.col("d.url").alias("src")))
+    # the candidate set is read twice (robots decision, final rows): written
+    # once to the checkpoint folder — it is also the frontier the crawl keeps
+    ensure_checkpoint_dir(links.sparkSession)
     cand = (first.join(seen.select("url"), "url", "left_anti")
-            .where(U.port_ok(F.col("url"))))
+            .where(U.port_ok(F.col("url")))
+            .checkpoint(eager=True))
     allowed = robots_allowed(cand.select("url"), rules).where("allowed").select("url")
     cand = (cand.join(allowed, "url", "left_semi")
             .withColumn("host", U.host(F.col("url")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.constants import FAILED_STATUS, REDIRECT_PREFIX
+from quarry.sources.tables import literal_table
 
 # --- fixed values: HTTP status descriptions -----------------------------------
 HTTP_CODES = (
@@ -31,7 +32,7 @@ def link_health(urls: DataFrame, statuses: DataFrame) -> DataFrame:
     counts as a failed request. The status text comes from a fixed code table
     (11 rows, broadcast). ``(url, status, ok, description)``"""
     spark = urls.sparkSession
-    codes = F.broadcast(spark.createDataFrame(list(HTTP_CODES), "status int, description string"))
+    codes = F.broadcast(literal_table(spark, list(HTTP_CODES), "status int, description string"))
     return (urls.join(statuses.select("url", "status"), "url", "left")
             .withColumn("status", F.coalesce(F.col("status"), F.lit(FAILED_STATUS)).cast("int"))
             .join(codes, "status", "left")

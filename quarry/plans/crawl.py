@@ -23,11 +23,11 @@ DEFAULT_DELAYS = [("*", 0.0, 5.0, 1)]
 
 
 def rules_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_RULES, FR.ROBOTS_SCHEMA)
+    return S.literal_table(spark, DEFAULT_RULES, FR.ROBOTS_SCHEMA)
 
 
 def delays_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_DELAYS, FR.DELAY_SCHEMA)
+    return S.literal_table(spark, DEFAULT_DELAYS, FR.DELAY_SCHEMA)
 
 
 def _rules_sql() -> str:

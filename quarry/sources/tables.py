@@ -54,6 +54,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small fixed table built inside the JVM (a literal array of structs
+    turned into rows) — no Python data transfer, no Python workers. For
+    parameter tables (rules, code lists), not for data."""
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                       for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(r, st.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register every input table as a temp view (for SQL users)."""
     for name in TABLES:
