@@ -25,7 +25,7 @@ IMAGES_SCHEMA = "url string, image_url string"
 def read_html_dir(spark: SparkSession, folder: str, url_map: DataFrame) -> DataFrame:
     """``folder`` of saved pages + ``url_map(url, doc_id)`` (doc_id = file
     name) → ``(url, doc_id, html)``."""
-    files = (spark.read.option("wholetext", True).text(folder)
+    files = (spark.read.text(folder, wholetext=True)
              .select(F.col("_metadata.file_name").alias("doc_id"),
                      F.col("value").alias("html")))
     return url_map.select("url", "doc_id").join(files, "doc_id").select("url", "doc_id", "html")
