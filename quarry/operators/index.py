@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from quarry.functions import html as H
 from quarry.functions import text as TX
 from quarry.functions.porter import stem_col
+from quarry.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -78,14 +79,36 @@ def build_index(pages: DataFrame, stem: bool = True,
     search never tokenises page text)."""
     fields = page_fields(pages)
     occ = field_terms(fields, stem=stem, which=which)
+    # postings are read by every later step (frequencies, statistics,
+    # candidates, verification): computed once and written to the shared
+    # checkpoint folder, as an index build writes its postings anyway
+    ensure_checkpoint_dir(pages.sparkSession)
     postings = (occ.groupBy("field", "term", "url")
-                .agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len")))
+                .agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
+                .checkpoint(eager=True))
     doc_freq = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    stats = field_stats_of(fields, which)
+    stats = _stats_from_postings(postings, pages, which)
     docs = fields.select("url", "title")
     return Index(docs=docs, postings=postings, doc_freq=doc_freq, field_stats=stats)
 
 
+def _stats_from_postings(postings: DataFrame, pages: DataFrame,
+                         which: tuple[str, ...]) -> DataFrame:
+    """A9/A10 from the postings: total analysed length per field (each
+    document's length is on each of its postings) and the document count
+    (every page, also those whose field is empty). One row per field."""
+    lens = (postings.select("field", "url", "len").distinct()
+            .groupBy("field").agg(F.sum("len").cast("long").alias("total_len")))
+    # documents per field: every page counts once per field (partial counts
+    # per task, one row per field after the shuffle)
+    per_field = F.explode(F.array(*[F.lit(f) for f in which])).alias("field")
+    docs = pages.select(per_field).groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"))
+    total = F.coalesce(F.col("total_len"), F.lit(0).cast("long"))
+    return (docs.join(lens, "field", "left")
+            .select("field", "n_docs", total.alias("total_len"),
+                    (total / F.col("n_docs")).alias("avg_len")))
+
+
 def field_stats_of(fields: DataFrame,
                    which: tuple[str, ...] = ("title", "content")) -> DataFrame:
     """Documents and average field length per field (one row each).
