@@ -142,3 +142,51 @@ def page_replay(events: DataFrame, page_len: int = PAGE_LEN,
     page = F.least(F.col("ph"), F.greatest(F.col("pl"), F.col("x_in") + F.col("ps")))
     return out.select("event_id",
                       F.when(F.col("cur_total").isNotNull(), page).cast("int").alias("page_no"))
+
+
+# ------------------------------------------------------- R3 as a stream ----
+
+PAGE_STATE_SCHEMA = "page long, last long"
+PAGE_OUT_SCHEMA = "event_id long, page_no int"
+
+
+def _page_state_fn(key, pdfs, state):
+    """Per user: apply each request of the micro-batch in time order to the
+    kept (page, last page) state; emit the page shown after each request."""
+    import pandas as pd
+    if state.exists:
+        page, last = state.get
+    else:
+        page, last = None, None
+    out_ids, out_pages = [], []
+    for pdf in pdfs:
+        pdf = pdf.sort_values(["ts", "event_id"])
+        for eid, typ, value in zip(pdf["event_id"], pdf["event_type"], pdf["value"]):
+            act = PAGE_ACTION_OF_EVENT.get(typ, "none")
+            if act == "query":
+                page, last = 1, max(-(-int(value // 1) // PAGE_LEN), 1)
+            elif page is not None and act == "first":
+                page = 1
+            elif page is not None and act == "next":
+                page = min(page + 1, last)
+            elif page is not None and act == "prev":
+                page = max(page - 1, 1)
+            out_ids.append(int(eid))
+            out_pages.append(page)
+    if page is not None:
+        state.update((page, last))
+    yield pd.DataFrame({"event_id": out_ids,
+                        "page_no": pd.array(out_pages, dtype="Int32")})
+
+
+def page_replay_stream(events: DataFrame) -> DataFrame:
+    """R3 on a request stream: ``applyInPandasWithState`` keyed by user keeps
+    (page, last page) between micro-batches (append mode). Within a
+    micro-batch a user's requests are applied in time order; across batches
+    the stream must deliver each user's requests in time order (as a log
+    tail does)."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    return (events.select("user_id", "event_id", "ts", "event_type", "value")
+            .groupBy("user_id")
+            .applyInPandasWithState(_page_state_fn, PAGE_OUT_SCHEMA, PAGE_STATE_SCHEMA,
+                                    "append", GroupStateTimeout.NoTimeout))

@@ -18,6 +18,7 @@ def spark():
     s = build_session("local[4]", 4, extra={
         "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
         "spark.local.dir": os.path.join(scratch, "local"),
+        "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         "spark.driver.memory": "4g",
     })
     yield s

@@ -104,3 +104,21 @@ def test_stream_ingest_equals_batch_and_resumes(spark, tmp_dir):
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     expect = sorted(tuple(r) for r in L.distinct_links(pages).collect())
     assert n1 < len(got) and got == expect
+
+
+def test_page_replay_stream_matches_batch(spark, tmp_dir):
+    ev = S.events(spark, SF001)
+    # the log arrives in two files, split in time: the state carries over
+    cut = ev.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
+    src = os.path.join(tmp_dir, "ev")
+    ev.where(F.col("ts") <= cut).write.parquet(os.path.join(src, "a"))
+    ev.where(F.col("ts") > cut).write.parquet(os.path.join(src, "b"))
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+              .parquet(src + "/*"))
+    q = (RP.page_replay_stream(stream).writeStream.format("memory").queryName("pages_stream")
+         .outputMode("append").option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.event_id: r.page_no for r in spark.table("pages_stream").collect()}
+    expect = {r.event_id: r.page_no for r in RP.page_replay(ev).collect()}
+    assert got == expect
