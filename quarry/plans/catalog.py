@@ -6,8 +6,21 @@ from quarry.plans import corpus, crawl, dictionary, graph, logs, related_q, sear
 from quarry.plans.registry import ORACLES, QUERIES
 
 
+def _shipped(fn):
+    """Wrap a query so the package reaches the executors before it runs."""
+    import functools
+
+    from quarry.session import ship_package
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    return run
+
+
 def queries():
-    return dict(QUERIES)
+    return {name: _shipped(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql():

@@ -88,3 +88,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder below the checkpoint root for tables written to cut lineage."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "tables", name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable on every executor's Python workers (pandas
+    UDFs and ``applyInPandas`` functions are pickled by module reference):
+    zip the package once per application and ``addPyFile`` it."""
+    import zipfile
+
+    import quarry
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server side provides the package
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(quarry.__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="quarry-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
