@@ -190,3 +190,38 @@ def page_replay_stream(events: DataFrame) -> DataFrame:
             .groupBy("user_id")
             .applyInPandasWithState(_page_state_fn, PAGE_OUT_SCHEMA, PAGE_STATE_SCHEMA,
                                     "append", GroupStateTimeout.NoTimeout))
+
+
+# ------------------------------------------------------- R1 as a stream ----
+
+MODE_STATE_SCHEMA = "mode string"
+MODE_OUT_SCHEMA = "event_id long, mode string"
+
+
+def _mode_state_fn(key, pdfs, state):
+    """Per user: the mode in force after each request of the micro-batch,
+    carried between batches in the state (starts at 'both')."""
+    import pandas as pd
+    mode = state.get[0] if state.exists else "both"
+    out_ids, out_modes = [], []
+    for pdf in pdfs:
+        pdf = pdf.sort_values(["ts", "event_id"])
+        for eid, typ in zip(pdf["event_id"], pdf["event_type"]):
+            new = MODE_OF_EVENT.get(typ)
+            if new is not None:
+                mode = new
+            out_ids.append(int(eid))
+            out_modes.append(mode)
+    state.update((mode,))
+    yield pd.DataFrame({"event_id": out_ids, "mode": out_modes})
+
+
+def mode_replay_stream(events: DataFrame) -> DataFrame:
+    """R1 on a request stream (``applyInPandasWithState`` keyed by user,
+    append mode); each user's requests must arrive in time order across
+    micro-batches."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    return (events.select("user_id", "event_id", "ts", "event_type")
+            .groupBy("user_id")
+            .applyInPandasWithState(_mode_state_fn, MODE_OUT_SCHEMA, MODE_STATE_SCHEMA,
+                                    "append", GroupStateTimeout.NoTimeout))

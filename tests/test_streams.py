@@ -122,3 +122,20 @@ def test_page_replay_stream_matches_batch(spark, tmp_dir):
     got = {r.event_id: r.page_no for r in spark.table("pages_stream").collect()}
     expect = {r.event_id: r.page_no for r in RP.page_replay(ev).collect()}
     assert got == expect
+
+
+def test_mode_replay_stream_matches_batch(spark, tmp_dir):
+    ev = S.events(spark, SF001)
+    cut = ev.agg(F.expr("percentile_approx(ts, 0.3)")).first()[0]
+    src = os.path.join(tmp_dir, "ev")
+    ev.where(F.col("ts") <= cut).write.parquet(os.path.join(src, "a"))
+    ev.where(F.col("ts") > cut).write.parquet(os.path.join(src, "b"))
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+              .parquet(src + "/*"))
+    q = (RP.mode_replay_stream(stream).writeStream.format("memory").queryName("modes_stream")
+         .outputMode("append").option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.event_id: r.mode for r in spark.table("modes_stream").collect()}
+    expect = {r.event_id: r.mode for r in RP.mode_replay(ev).collect()}
+    assert got == expect
