@@ -76,22 +76,28 @@ def next_in_group(df: DataFrame, group: list[str], order: list[Column | str],
 
 
 def fill_forward(df: DataFrame, group: list[str], order: list[Column | str],
-                 value: str, name: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 value: str, name: str, block_rows: int = BLOCK_ROWS,
+                 ranked: str | None = None) -> DataFrame:
     """Add ``name``: the last non-null ``value`` at or before each row in its
     group (null before the first one).
 
     Positions are cut into blocks of ``block_rows``; a window per
     (group, block) holds at most ``block_rows`` rows, and the carry into a
     block comes from a window over per-block summaries — one row per block,
-    so a group of n rows contributes n / block_rows rows there.
+    so a group of n rows contributes n / block_rows rows there. ``ranked``
+    names a column that already holds the 1-based position within the group
+    (then ``order`` is not used and no new sort runs).
     """
-    ranked = group_rank(df, group, order, "_r")
-    blk = ranked.withColumn("_blk", F.floor((F.col("_r") - 1) / block_rows))
-    upto = (Window.partitionBy(*group, "_blk").orderBy("_r")
+    if ranked is None:
+        base = group_rank(df, group, order, "_ffr").drop("_gpos")
+    else:
+        base = df.withColumn("_ffr", F.col(ranked))
+    blk = base.withColumn("_blk", F.floor((F.col("_ffr") - 1) / block_rows))
+    upto = (Window.partitionBy(*group, "_blk").orderBy("_ffr")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = blk.withColumn("_loc", F.last(value, ignorenulls=True).over(upto))
     summary = (blk.where(F.col(value).isNotNull())
-               .groupBy(*group, "_blk").agg(F.max_by(value, "_r").alias("_last")))
+               .groupBy(*group, "_blk").agg(F.max_by(value, "_ffr").alias("_last")))
     blocks = (blk.select(*group, "_blk").distinct()
               .join(summary, [*group, "_blk"], "left"))
     earlier = (Window.partitionBy(*group).orderBy("_blk")
@@ -99,4 +105,4 @@ def fill_forward(df: DataFrame, group: list[str], order: list[Column | str],
     carry = blocks.withColumn("_in", F.last("_last", ignorenulls=True).over(earlier))
     out = (local.join(carry.select(*group, "_blk", "_in"), [*group, "_blk"])
            .withColumn(name, F.coalesce(F.col("_loc"), F.col("_in"))))
-    return out.drop("_r", "_blk", "_loc", "_in", "_gpos")
+    return out.drop("_ffr", "_blk", "_loc", "_in")

@@ -114,7 +114,9 @@ def page_replay(events: DataFrame, page_len: int = PAGE_LEN,
     act = _case(F.col("event_type"), PAGE_ACTION_OF_EVENT)
     e = events.select("event_id", "user_id", "ts", act.alias("act"),
                       F.when(act == "query", F.floor("value").cast("long")).alias("total"))
-    e = SQ.fill_forward(e, ["user_id"], ["ts", "event_id"], "total", "cur_total", block_rows)
+    # one sort-based ranking serves both the carry of the hit count and the blocks
+    e = SQ.group_rank(e, ["user_id"], ["ts", "event_id"], "_r").drop("_gpos")
+    e = SQ.fill_forward(e, ["user_id"], [], "total", "cur_total", block_rows, ranked="_r")
     last = F.greatest(F.ceil(F.col("cur_total") / page_len), F.lit(1)).cast("long")
     e = (e.withColumn("s", F.when(F.col("act") == "next", 1)
                       .when(F.col("act") == "prev", -1).otherwise(0).cast("long"))
@@ -122,8 +124,7 @@ def page_replay(events: DataFrame, page_len: int = PAGE_LEN,
                      .when(F.col("act").isin("next", "prev"), 1).otherwise(-_BIG).cast("long"))
          .withColumn("hi", F.when(F.col("act").isin("query", "first"), 1)
                      .when(F.col("act").isin("next", "prev"), last).otherwise(_BIG).cast("long")))
-    r = SQ.group_rank(e, ["user_id"], ["ts", "event_id"], "_r")
-    r = r.withColumn("_blk", F.floor((F.col("_r") - 1) / block_rows))
+    r = e.withColumn("_blk", F.floor((F.col("_r") - 1) / block_rows))
     local = (r.select("user_id", "_blk", "_r", "event_id", "s", "lo", "hi")
              .groupBy("user_id", "_blk")
              .applyInPandas(_block_scan, "user_id long, _blk long, event_id long, "
