@@ -1 +1,2 @@
-"""sources."""
+"""Inputs and outputs: ``tables`` (parquet tables, scan spreading, literal
+parameter tables) and ``files`` (HTML folder scan, adjacency CSV, sinks)."""
