@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import host_rules, quality_crf, toxicity
+from quarry.llm import (fingerprint, host_rules, html_extract, packing, quality_crf, toxicity)
 from quarry.llm.common import table
 
 
@@ -26,7 +26,11 @@ def _on_labelled(op: Callable[[DataFrame, DataFrame], DataFrame]):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": _on_labelled(toxicity.op2_toxicity),
+        "op3_packing": _on_documents(packing.op3_packing),
+        "op6_html_extraction": lambda spark, sf_dir: html_extract.op6_html_extraction(
+            table(spark, sf_dir, "pages")),
         "op8_quality_crf": _on_labelled(quality_crf.op8_quality_crf),
+        "op9_fingerprint": _on_documents(fingerprint.op9_fingerprint),
         "op10_host_rules": _on_documents(host_rules.op10_host_rules),
     }
 

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.session import scratch_path, ship_package
 
@@ -90,6 +91,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             start = end
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Arrow schema of a DDL string (on the driver: the JVM parses it)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a slice; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
@@ -101,11 +108,8 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     a slice; the columns of ``df`` other than ``column`` are carried along in
     front of them. ``schema`` declares the new columns."""
     keep = [f for f in df.schema.fields if f.name != column]
-    from pyspark.sql.types import StructType, _parse_datatype_string
-    made = _parse_datatype_string(schema)
-    out = StructType(keep + list(made.fields))
-    from pyspark.sql.pandas.types import to_arrow_type
-    kinds = [(f.name, to_arrow_type(f.dataType)) for f in made.fields]
+    out = StructType(keep + StructType.fromDDL(schema).fields)
+    kinds = [(f.name, f.type) for f in arrow_schema(schema)]
     names = [f.name for f in keep]
 
     def run(batches):
