@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence scores ``sigmoid(bias + sum of
-its words' weights)``; the document is toxic unless every sentence is clean
+its distinct words' weights)``; the document is toxic unless every sentence is clean
 (noisy-or: ``1 - prod(1 - p)``). Only document labels are known; the gradient
 of the noisy-or shares a document's label out among its sentences, so the
 fitted sentence scores also say where the offending sentences are.
@@ -21,6 +21,7 @@ labelled rows of both classes every score is 0; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import labelled_sample, map_rows, texts_of
 
-TRAIN_ROWS = {0: 4000, 1: 2000}  # training documents of each class at most
+TRAIN_ROWS = {0: 2500, 1: 1500}  # training documents of each class at most
 ROUNDS = 120
 LEARNING_RATE = 0.1
 L1 = 0.02
@@ -79,7 +80,7 @@ class Model:
         for m in SENTENCE.finditer(text):
             words = m.group().lower().split()
             if words:
-                out.append((m.start(), m.end(), bias + sum(map(weight, words))))
+                out.append((m.start(), m.end(), bias + sum(map(weight, dict.fromkeys(words)))))
         return out
 
 
@@ -97,22 +98,24 @@ def train(rows: list[tuple[str, int]]) -> Model:
     if len({y for _, y in rows}) < 2:
         return Model(-np.inf, {})
     vocab: dict[str, int] = {}
-    word, sent, doc = [], [], []
+    word, sent, doc = array("i"), array("i"), array("i")
     for d, (text, _) in enumerate(rows):
         for m in SENTENCE.finditer(text):
-            tokens = [t for t in (t.strip(EDGE) for t in m.group().lower().split()) if t]
+            tokens = {t: 0 for t in (t.strip(EDGE) for t in m.group().lower().split()) if t}
             if tokens:
-                word += [vocab.setdefault(t, len(vocab)) for t in tokens]
-                sent += [len(doc)] * len(tokens)
+                word.extend(vocab.setdefault(t, len(vocab)) for t in tokens)
+                sent.extend([len(doc)] * len(tokens))
                 doc.append(d)
     word, sent, doc = (np.array(x, np.int32) for x in (word, sent, doc))
-    names: dict[str, int] = {}
-    feats = np.array([[names.setdefault(f, len(names)) for f in word_features(w)]
-                      for w in vocab], np.int32)
+    hashes = np.fromiter((hash(f) for w in vocab for f in word_features(w)),
+                         np.int64, 5 * len(vocab))        # names only within this call
+    names, feats = np.unique(hashes, return_inverse=True)
+    feats = feats.reshape(-1, 5).astype(np.int32)
     pairs = np.unique(doc[sent].astype(np.int64) * len(vocab) + word)
-    held = np.unique(np.repeat(pairs // len(vocab), 5) * len(names)
-                     + feats[pairs % len(vocab)].ravel())
-    in_docs = np.bincount(held % len(names), minlength=len(names))
+    in_docs = np.zeros(len(names), np.int32)
+    for k in range(5):  # a feature of one kind: once per document
+        held = np.unique(pairs // len(vocab) * len(names) + feats[pairs % len(vocab), k])
+        in_docs += np.bincount(held % len(names), minlength=len(names)).astype(np.int32)
     used = np.flatnonzero(in_docs >= MIN_DOCS)
     place = np.full(len(names), len(used))                # the last slot: rare, weight 0
     place[used] = np.arange(len(used))
@@ -135,9 +138,10 @@ def train(rows: list[tuple[str, int]]) -> Model:
         step = LEARNING_RATE * (m1 / (1 - 0.9 ** t)) / (np.sqrt(v1 / (1 - 0.99 ** t)) + 1e-6)
         bias -= step[-1]
         theta[:-1] = np.maximum(theta[:-1] - step[:-1] - LEARNING_RATE * L1, 0)
-    named = list(names)
-    return Model(float(bias), {named[used[i]]: float(theta[i])
-                               for i in np.flatnonzero(theta[:-1])})
+    on = theta[slot] > 0
+    on[slot == n_slot] = False
+    return Model(float(bias), {f: float(theta[slot[i, k]]) for i, w in enumerate(vocab)
+                               if on[i].any() for k, f in enumerate(word_features(w)) if on[i, k]})
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: Column) -> Model:
