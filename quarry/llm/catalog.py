@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import (fingerprint, host_rules, html_extract, packing, quality_crf, toxicity)
+from quarry.llm import (fingerprint, host_rules, html_extract, jaccard, packing,
+                        quality_crf, toxicity)
 from quarry.llm.common import table
 
 
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": _on_documents(packing.op3_packing),
         "op6_html_extraction": lambda spark, sf_dir: html_extract.op6_html_extraction(
             table(spark, sf_dir, "pages")),
+        "op7_ngram_jaccard": _on_documents(jaccard.op7_ngram_jaccard),
         "op8_quality_crf": _on_labelled(quality_crf.op8_quality_crf),
         "op9_fingerprint": _on_documents(fingerprint.op9_fingerprint),
         "op10_host_rules": _on_documents(host_rules.op10_host_rules),
