@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (fingerprint, host_rules, html_extract, jaccard, packing,
-                        quality_crf, toxicity)
+                        quality_crf, secrets, toxicity)
 from quarry.llm.common import table
 
 
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": _on_labelled(toxicity.op2_toxicity),
         "op3_packing": _on_documents(packing.op3_packing),
+        "op5_secret_scan": _on_documents(secrets.op5_secret_scan),
         "op6_html_extraction": lambda spark, sf_dir: html_extract.op6_html_extraction(
             table(spark, sf_dir, "pages")),
         "op7_ngram_jaccard": _on_documents(jaccard.op7_ngram_jaccard),
@@ -38,7 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_host_rules": OP10_SQL}
+    return {"op5_secret_scan": OP5_SQL, "op10_host_rules": OP10_SQL}
 
 
 #: Words are runs of bytes other than blanks; windows of three words.
@@ -79,3 +80,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
 FROM r
 """
+
+
+def _span_sql() -> str:
+    """Spans of every rule by plain scanning: lengths of the text between the
+    matches and of the matches give the starts."""
+    parts = []
+    for k, r in enumerate(secrets.RULES):
+        pat = r.pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT rid, {k} AS place, '{r.kind}' AS kind, {str(r.base).lower()} AS base,
+    list_sum(list_transform(gaps[1:i], x -> length(x))) +
+      coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) AS s, length(hits[i]) AS n
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+    SELECT rid, regexp_split_to_array(text, '{pat}') AS gaps,
+      regexp_extract_all(text, '{pat}', 0) AS hits,
+      regexp_extract_all(text, '{pat}', {r.group}) AS own
+    FROM t WHERE regexp_matches(text, '{pat}')))
+  WHERE length(own[i]) >= {r.least}""")
+    return " UNION ALL ".join(parts)
+
+
+OP5_SQL = f"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({_span_sql()}),
+g AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign,
+    count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    coalesce(string_agg(kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT, ',' ORDER BY s, place)
+      FILTER (base), '') AS own,
+    string_agg(kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT, ',' ORDER BY s, place) AS spans
+  FROM m GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(own, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM t LEFT JOIN g USING (rid)
+"""
