@@ -90,8 +90,8 @@ def _span_sql() -> str:
         pat = r.pattern.replace("'", "''")
         parts.append(f"""
   SELECT rid, {k} AS place, '{r.kind}' AS kind, {str(r.base).lower()} AS base,
-    list_sum(list_transform(gaps[1:i], x -> length(x))) +
-      coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) AS s, length(hits[i]) AS n
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) +
+      coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s, length(hits[i]) AS n
   FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
     SELECT rid, regexp_split_to_array(text, '{pat}') AS gaps,
       regexp_extract_all(text, '{pat}', 0) AS hits,
