@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import (fingerprint, host_rules, html_extract, jaccard, packing,
+from quarry.llm import (bpe, fingerprint, host_rules, html_extract, jaccard, packing,
                         quality_crf, secrets, toxicity)
 from quarry.llm.common import table
 
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": _on_labelled(toxicity.op2_toxicity),
         "op3_packing": _on_documents(packing.op3_packing),
+        "op4_byte_bpe": _on_documents(bpe.op4_byte_bpe),
         "op5_secret_scan": _on_documents(secrets.op5_secret_scan),
         "op6_html_extraction": lambda spark, sf_dir: html_extract.op6_html_extraction(
             table(spark, sf_dir, "pages")),
