@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import (bpe, fingerprint, host_rules, html_extract, jaccard, packing,
+from quarry.llm import (bpe, fingerprint, host_rules, html_extract, jaccard, lm_score, packing,
                         quality_crf, secrets, toxicity)
 from quarry.llm.common import table
 
@@ -26,6 +26,7 @@ def _on_labelled(op: Callable[[DataFrame, DataFrame], DataFrame]):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_score": _on_documents(lm_score.op1_lm_score),
         "op2_toxicity": _on_labelled(toxicity.op2_toxicity),
         "op3_packing": _on_documents(packing.op3_packing),
         "op4_byte_bpe": _on_documents(bpe.op4_byte_bpe),
