@@ -35,7 +35,7 @@ EPOCHS = 2
 POPULATION = 4
 CHILDREN = 8           # per island and epoch
 FULL_ENOUGH = 0.99     # fill at which a bin is settled
-MEMO_WORDS = 400_000   # encoded words a worker remembers at a time
+MEMO_WORDS = 1_200_000  # encoded words a worker remembers at a time (about 250 MB)
 
 
 class Encoder:
