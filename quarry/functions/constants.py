@@ -11,6 +11,10 @@ SITE_SUFFIX = "myanimelist.net"
 # Strict link filter: an href containing any of these is dropped.
 STRICT_LINK_PATTERNS = ("/wiki/Special:Random", "#", "Category:", ":Citation")
 
+# One white space character as Python's str.split() sees it.
+WS_RE = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
+         r"\x{205f}\x{3000}]")
+
 # Python's string.punctuation (deleted before tokenising word-vector text).
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -52,10 +56,6 @@ SUGGEST_SIZE = 3
 # Related results: seeds taken from the top hits and queries per seed.
 RELATED_K = 2
 
-# Related searches run time-limited in the reference (partial results); the
-# repeatable stand-in keeps each related query's first page of hits.
-RELATED_LIMIT = 10
-
 # Word-vector training: epochs and parallel workers.
 W2V_EPOCHS = 3
 W2V_WORKERS = 8
@@ -68,6 +68,3 @@ REDIRECT_PREFIX = "check_url?u="
 
 # Status counted for a failed link request.
 FAILED_STATUS = 400
-
-# Debounce quiet time.
-DEBOUNCE_MS = 500

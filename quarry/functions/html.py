@@ -7,21 +7,24 @@ DuckDB oracle (RE2) reads the same text: see ``quarry.plans.oracle``.
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.functions.constants import POPULARITY_FALLBACK, SITE_SUFFIX
+from quarry.functions.constants import POPULARITY_FALLBACK, SITE_SUFFIX, WS_RE
 
 # --- fixed values: patterns ---------------------------------------------------
-# href of every <a> tag (double-, single- or un-quoted value).
-ANCHOR_HREF_RE = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']?([^"'\s>]*)"""
+# href of every <a> tag: a double-, single- or un-quoted value, with its quotes.
+ANCHOR_HREF_RE = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^"'\s>]*)"""
+EDGE_QUOTE_RE = r"""^["']|["']$"""
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title"
 SCRIPT_RE = r"(?is)<script\b[^>]*>.*?</script\s*>"
 STYLE_RE = r"(?is)<style\b[^>]*>.*?</style\s*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
 TAG_RE = r"(?s)<[^>]*>"
-SPACE_RE = r"\s+"
-EDGE_SPACE_RE = r"^\s+|\s+$"
+SPACE_RE = WS_RE + "+"
+EDGE_SPACE_RE = f"^{WS_RE}+|{WS_RE}+$"
 POPULARITY_RE = (r"""(?is)<span[^>]*class\s*=\s*["']numbers popularity["'][^>]*>"""
                  r".*?<strong[^>]*>(.*?)</strong")
 OG_IMAGE_RE = (r"""(?is)<meta\s[^>]*property\s*=\s*["']og:image["'][^>]*"""
@@ -29,13 +32,11 @@ OG_IMAGE_RE = (r"""(?is)<meta\s[^>]*property\s*=\s*["']og:image["'][^>]*"""
 OG_IMAGE_REV_RE = (r"""(?is)<meta\s[^>]*content\s*=\s*["']([^"']*)["'][^>]*"""
                    r"""property\s*=\s*["']og:image["']""")
 
-# Character entities decoded in text and titles; "&amp;" is decoded last so
-# that "&amp;lt;" becomes "&lt;" and not "<".
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"),
-    ("&middot;", "·"), ("&amp;", "&"),
-)
+# A character reference after its "&": decimal, hexadecimal or named.
+REFERENCE_RE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+# Code points of the named references (the HTML 4 table, and &apos;).
+NAMED = {**html.entities.name2codepoint, "apos": 39}
 
 
 def site_suffix_re(site: str = SITE_SUFFIX) -> str:
@@ -46,21 +47,45 @@ PIPE_TAIL_RE = r"\s*\|\s*.+$"
 PAREN_TAIL_RE = r"\s*\(.+\)\s*$"
 
 
+def character(code: Column) -> Column:
+    """The character of a code point; U+FFFD for one that is none."""
+    known = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
+    padded = F.lpad(F.hex(code), 8, "0")
+    return F.when(known, F.decode(F.unhex(padded), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
 def unescape(col: Column) -> Column:
-    for ent, ch in ENTITIES:
-        col = F.replace(col, F.lit(ent), F.lit(ch))
-    return col
+    """Character references decoded, each once ("&amp;lt;" is "&lt;"): the
+    pieces after every "&" are looked at on their own. Unknown names stay."""
+    named = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def decoded(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, REFERENCE_RE, 1)
+        digits = F.regexp_extract(ref, "^#([0-9]+)$", 1)
+        hexes = F.regexp_extract(ref, "^#[xX]([0-9a-fA-F]+)$", 1)
+        code = (F.when(digits != "", digits.cast("long"))
+                .when(hexes != "", F.conv(hexes, 16, 10).cast("long"))
+                .otherwise(F.try_element_at(named, ref).cast("long")))
+        rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
+        return F.when((ref == "") | code.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(character(code), rest))
+
+    pieces = F.split(col, "&", -1)
+    after = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+    return F.when(F.contains(col, F.lit("&")),
+                  F.concat(F.element_at(pieces, 1), F.array_join(after, ""))).otherwise(col)
 
 
 def strip_ws(col: Column) -> Column:
-    """Trim all ASCII whitespace (``F.trim`` only removes spaces)."""
+    """Trim all white space, Unicode's too (``F.trim`` only removes spaces)."""
     return F.regexp_replace(col, EDGE_SPACE_RE, "")
 
 
 def anchor_hrefs(html: Column) -> Column:
     """Array of the href values of all anchors, in document order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(ANCHOR_HREF_RE), 1),
-                       lambda h: unescape(h))
+    shown = F.regexp_replace(F.regexp_replace(html, COMMENT_RE, ""), SCRIPT_RE, "")
+    return F.transform(F.regexp_extract_all(shown, F.lit(ANCHOR_HREF_RE), 1),
+                       lambda h: unescape(F.regexp_replace(h, EDGE_QUOTE_RE, "")))
 
 
 def visible_text(html: Column) -> Column:

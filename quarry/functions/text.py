@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.functions.constants import ASCII_PUNCTUATION, STOP_MIN_LEN, STOP_WORDS
+from quarry.functions.constants import ASCII_PUNCTUATION, STOP_MIN_LEN, STOP_WORDS, WS_RE
 
 # --- fixed values: patterns ---------------------------------------------------
 # Index token (pin P2): letters, digits, underscore, with single inner dots.
 WORD_RE = r"[\p{L}\p{N}_]+(?:\.?[\p{L}\p{N}_]+)*"
-# Whitespace for splitting word-vector text (ASCII whitespace).
-WS_SPLIT_RE = r"[ \t\n\r\f\x0B]+"
+# White space for splitting word-vector text.
+WS_SPLIT_RE = WS_RE + "+"
 
 
 def punct_tokens(text: Column) -> Column:

@@ -73,10 +73,21 @@ def field_terms(fields: DataFrame, stem: bool = True,
     return out
 
 
+def one_per_url(pages: DataFrame) -> DataFrame:
+    """The row of the lowest ``page_id`` of every URL. Only ids move in the
+    shuffle of the aggregate; tables without ids are taken as they are."""
+    if "page_id" not in pages.columns:
+        return pages
+    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    return pages.join(first, ["url", "page_id"], "left_semi")
+
+
 def build_index(pages: DataFrame, stem: bool = True,
                 which: tuple[str, ...] = ("title", "content")) -> Index:
     """Index of ``pages``; ``which`` limits the fields built (a title-only
-    search never tokenises page text)."""
+    search never tokenises page text). A URL stored twice counts once, with
+    the row of the lowest ``page_id``."""
+    pages = one_per_url(pages)
     fields = page_fields(pages)
     occ = field_terms(fields, stem=stem, which=which)
     # postings are read by every later step (frequencies, statistics,
@@ -109,24 +120,6 @@ def _stats_from_postings(postings: DataFrame, pages: DataFrame,
                     (total / F.col("n_docs")).alias("avg_len")))
 
 
-def field_stats_of(fields: DataFrame,
-                   which: tuple[str, ...] = ("title", "content")) -> DataFrame:
-    """Documents and average field length per field (one row each).
-
-    Lengths count analysed tokens (after the stop filter for content). A
-    single global aggregate: partial sums per task, one tiny final merge.
-    """
-    analyzers = {"title": TX.word_tokens, "content": TX.content_tokens}
-    lens = fields.select(*[F.size(analyzers[f](F.col(f))).alias(f) for f in which])
-    agg = lens.agg(F.count(F.lit(1)).alias("n_docs"),
-                   *[F.sum(f).cast("long").alias(f) for f in which])
-    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("total_len"))
-                     for f in which])
-    return (agg.select("n_docs", F.explode(rows).alias("s"))
-            .select("s.field", "n_docs", "s.total_len",
-                    (F.col("s.total_len") / F.col("n_docs")).alias("avg_len")))
-
-
 def write_index(index: Index, path: str, buckets: int = 64) -> None:
     """Persist the index: postings partitioned by field (partition pruning)
     and bucketed + sorted by term (query joins read their buckets only)."""

@@ -233,12 +233,9 @@ def upgraded_search(hits_a: DataFrame, matches_b: DataFrame) -> DataFrame:
     return r.select("query_id", "url", "exact", F.col("rank").cast("int").alias("rank"))
 
 
-def upgrade_and_extend(a: DataFrame, b: DataFrame, bounded: bool = False) -> DataFrame:
-    """(a∩b in a's order), (a∖b in a's order), (b∖a in b's order).
-
-    ``bounded=True`` when both lists hold a bounded number of rows per query
-    (e.g. first pages): the re-rank is then a window over that bound;
-    otherwise the sort-based ``group_rank`` splits a hot query."""
+def upgrade_and_extend(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(a∩b in a's order), (a∖b in a's order), (b∖a in b's order);
+    the sort-based ``group_rank`` splits a hot query."""
     aa = a.select("query_id", "url", F.col("rank").alias("ra"))
     bb = b.select("query_id", "url", F.col("rank").alias("rb"))
     m = aa.join(bb, ["query_id", "url"], "full_outer")
@@ -247,8 +244,5 @@ def upgrade_and_extend(a: DataFrame, b: DataFrame, bounded: bool = False) -> Dat
             .when(F.col("ra").isNotNull(), 1).otherwise(2))
     key = F.when(part < 2, F.col("ra")).otherwise(F.col("rb"))
     m = m.select("query_id", "url", part.alias("_part"), key.alias("_key"))
-    if bounded:
-        w = Window.partitionBy("query_id").orderBy("_part", "_key", "url")
-        return m.select("query_id", "url", F.row_number().over(w).alias("rank"))
     r = group_rank(m, ["query_id"], ["_part", "_key", "url"], "rank")
     return r.select("query_id", "url", F.col("rank").cast("int").alias("rank"))

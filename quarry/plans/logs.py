@@ -94,6 +94,6 @@ def debounced_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("stream_ingest", sql=f"SELECT DISTINCT url AS src, dst FROM ({RESOLVED_SQL})")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """The pages file fed through the streaming ingestion (dedup by URL,
-    links out); equals ``distinct_links``."""
-    return IG.ingest_to_table(spark, sf, glob="pages.parquet")
+    """The pages table, a file or a folder of files, fed through the
+    streaming ingestion (dedup by URL, links out); equals ``distinct_links``."""
+    return IG.ingest_to_table(spark, IG.one_table(f"{sf}/pages.parquet"))

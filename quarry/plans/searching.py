@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import html as H
 from quarry.functions.constants import (BM25_B, BM25_K1, FAILED_STATUS, PAGE_LEN,
-                                       REDIRECT_PREFIX, SCORE_WEIGHTS)
+                                       REDIRECT_PREFIX, SCORE_WEIGHTS, SUGGEST_SIZE)
 from quarry.operators import index as IX
 from quarry.operators import search as SE
 from quarry.plans import sqlfrag as Q
@@ -36,8 +36,12 @@ def _resolved_sql() -> str:
     return RESOLVED_SQL
 
 
+# A URL stored twice is indexed once, with the row of its lowest page_id.
+ONE_PER_URL_SQL = ("SELECT * FROM pages WHERE (url, page_id) IN "
+                   "(SELECT (url, min(page_id)) FROM pages GROUP BY url)")
+
 TITLE_FIELDS_SQL = f"""
-SELECT page_id, url, coalesce({Q.index_title('html')}, '') AS title FROM pages"""
+SELECT page_id, url, coalesce({Q.index_title('html')}, '') AS title FROM ({ONE_PER_URL_SQL})"""
 
 TITLE_POSTINGS_SQL = f"""
 SELECT term, url, CAST(count(*) AS BIGINT) AS tf, any_value(len) AS len FROM (
@@ -48,7 +52,7 @@ GROUP BY term, url"""
 CONTENT_POSTINGS_SQL = f"""
 SELECT term, url, CAST(count(*) AS BIGINT) AS tf, any_value(len) AS len FROM (
   SELECT url, len(toks) AS len, unnest(toks) AS term FROM (
-    SELECT url, {Q.content_tokens(Q.visible_text('html'))} AS toks FROM pages))
+    SELECT url, {Q.content_tokens(Q.visible_text('html'))} AS toks FROM ({ONE_PER_URL_SQL})))
 GROUP BY term, url"""
 
 
@@ -153,11 +157,18 @@ def search_both(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------- paging and top-n ----
 
+def _first_page(spark: SparkSession, sf: str) -> DataFrame:
+    qterms = SE.analyze_groups(SE.title_queries(title_query_table(spark, sf)),
+                               stem=False, dedup_groups=False)
+    return SE.top_hits(SE.score(SE.match_groups(qterms, title_index(spark, sf)), "bm25"), PAGE_LEN)
+
+
 @register("search_topn", sql=f"""
 SELECT query_id, url, rank FROM ({ranked_sql(title_hits_sql("bm25"))}) WHERE rank <= {PAGE_LEN}""")
 def search_topn(spark: SparkSession, sf: str) -> DataFrame:
-    """The first 10 hits per query (a WindowGroupLimit plan)."""
-    return SE.top_n(search_bm25(spark, sf), PAGE_LEN).select("query_id", "url", "rank")
+    """The first 10 hits per query, straight from the scores (a rank-limited
+    window, WindowGroupLimit in the plan); no hit beyond is ranked."""
+    return _first_page(spark, sf).select("query_id", "url", "rank")
 
 
 @register("result_page", sql=f"""
@@ -181,11 +192,11 @@ def page_entries(spark: SparkSession, sf: str) -> DataFrame:
 def expanded_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Each query becomes (its whole-string suggestions, each an AND
     group in the title field) OR (the query as an AND group in content).
-    ``(query_id, group_id, field, text)``; the content group is number 3."""
+    ``(query_id, group_id, field, text)``; the content group's number is k."""
     from quarry.operators import suggest as SG
     q = title_query_table(spark, sf)
     sugg = SG.suggestion_groups(q, page_entries(spark, sf))
-    content = q.select("query_id", F.lit(3).alias("group_id"),
+    content = q.select("query_id", F.lit(SUGGEST_SIZE).alias("group_id"),
                        F.lit("content").alias("field"), F.col("query").alias("text"))
     return sugg.unionByName(content)
 
@@ -219,7 +230,10 @@ WITH g AS (
   SELECT fragment_id AS query_id, rank - 1 AS group_id, 'title' AS field, title AS text
   FROM ({sugg})
   UNION ALL
-  SELECT page_id, 3, 'content', {Q.index_title('html')} FROM pages
+  SELECT page_id, 0, 'title', {Q.index_title('html')} FROM pages
+  WHERE {Q.index_title('html')} IS NOT NULL AND page_id NOT IN (SELECT fragment_id FROM ({sugg}))
+  UNION ALL
+  SELECT page_id, {SUGGEST_SIZE}, 'content', {Q.index_title('html')} FROM pages
   WHERE {Q.index_title('html')} IS NOT NULL),
 r AS (SELECT DISTINCT query_id, group_id, field, term FROM (
   SELECT query_id, group_id, field,
@@ -300,7 +314,7 @@ def result_view(spark: SparkSession, sf: str) -> DataFrame:
     """The first page of every query with title, redirect link, image."""
     from quarry.operators import view as V
     pages = S.pages(spark, sf)
-    hits = SE.top_n(search_bm25(spark, sf), PAGE_LEN)
+    hits = _first_page(spark, sf)
     docs = IX.page_fields(pages).select("url", "title")
     images = pages.select("url", H.og_image(F.col("html")).alias("image_url")) \
         .where(F.col("image_url").isNotNull())

@@ -23,9 +23,17 @@ def rx_all(x: str, pattern: str, repl: str) -> str:
 
 
 def unescape(x: str) -> str:
-    for ent, ch in H.ENTITIES:
-        x = f"replace({x}, {lit(ent)}, {lit(ch)})"
-    return x
+    ref = f"regexp_extract(p, {lit(H.REFERENCE_RE)}, 1)"
+    names = ", ".join(f"{lit(k)}: {v}" for k, v in H.NAMED.items())
+    code = (f"CASE WHEN regexp_matches({ref}, '^#[0-9]+$') THEN CAST({ref}[2:] AS BIGINT) "
+            f"WHEN regexp_matches({ref}, '^#[xX]') THEN CAST('0x' || {ref}[3:] AS BIGINT) "
+            f"ELSE MAP {{{names}}}[{ref}] END")
+    char = (f"CASE WHEN ({code}) BETWEEN 1 AND 55295 OR ({code}) BETWEEN 57344 AND 1114111 "
+            f"THEN chr(CAST(({code}) AS INTEGER)) ELSE chr(65533) END")
+    piece = (f"CASE WHEN {ref} = '' OR ({code}) IS NULL THEN '&' || p "
+             f"ELSE ({char}) || p[length({ref}) + 2:] END")
+    return (f"(CASE WHEN contains({x}, '&') THEN string_split({x}, '&')[1] || array_to_string("
+            f"list_transform(string_split({x}, '&')[2:], lambda p: {piece}), '') ELSE {x} END)")
 
 
 def strip_ws(x: str) -> str:
@@ -57,7 +65,10 @@ def visible_text(html: str) -> str:
 
 
 def anchor_hrefs(html: str) -> str:
-    return f"list_transform(regexp_extract_all({html}, {lit(H.ANCHOR_HREF_RE)}, 1), lambda h: {unescape('h')})"
+    shown = rx_all(rx_all(html, H.COMMENT_RE, ""), H.SCRIPT_RE, "")
+    href = rx_all("h", H.EDGE_QUOTE_RE, "")
+    return (f"list_transform(list_transform(regexp_extract_all({shown}, {lit(H.ANCHOR_HREF_RE)}, 1), "
+            f"lambda h: {href}), lambda h: {unescape('h')})")
 
 
 def word_tokens(x: str) -> str:

@@ -1,2 +1,2 @@
-"""Inputs and outputs: ``tables`` (parquet tables, scan spreading, literal
+"""Inputs and outputs: ``tables`` (parquet tables, literal
 parameter tables) and ``files`` (HTML folder scan, adjacency CSV, sinks)."""

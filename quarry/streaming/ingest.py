@@ -33,6 +33,12 @@ def page_links_stream(pages: DataFrame) -> DataFrame:
     return dedup.select(F.col("url").alias("src"), F.explode(dsts).alias("dst"))
 
 
+def one_table(path: str) -> str:
+    """A glob that matches exactly ``path``: a stream takes a folder or a
+    glob, and a table may be one file as well as a folder of files."""
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def ingest(spark: SparkSession, source: str, out: str, checkpoint: str,
            max_files_per_trigger: int | None = None, glob: str | None = None):
     """Run the ingestion stream over everything now in folder ``source``

@@ -31,9 +31,9 @@ MODE_OF_EVENT = {"view": "both", "click": "both", "purchase": "pagerank",
                  "signup": "bm25", "error": None}
 # R3 page requests: view = new query submitted (page 1, its hit count is the
 # event value), click = next page, purchase = previous page, signup = first
-# page, error = invalid page request (ignored).
+# page, error = invalid page request (the last query is searched again: page 1).
 PAGE_ACTION_OF_EVENT = {"view": "query", "click": "next", "purchase": "prev",
-                        "signup": "first", "error": "none"}
+                        "signup": "first", "error": "first"}
 
 _BIG = 1 << 40
 
@@ -151,29 +151,33 @@ PAGE_STATE_SCHEMA = "page long, last long"
 PAGE_OUT_SCHEMA = "event_id long, page_no int"
 
 
+def _in_time_order(pdfs) -> pd.DataFrame:
+    """A user's whole share of a micro-batch, which comes in Arrow-sized
+    pieces of any order; its size is bounded by the trigger."""
+    return pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
+
+
 def _page_state_fn(key, pdfs, state):
     """Per user: apply each request of the micro-batch in time order to the
     kept (page, last page) state; emit the page shown after each request."""
-    import pandas as pd
     if state.exists:
         page, last = state.get
     else:
         page, last = None, None
     out_ids, out_pages = [], []
-    for pdf in pdfs:
-        pdf = pdf.sort_values(["ts", "event_id"])
-        for eid, typ, value in zip(pdf["event_id"], pdf["event_type"], pdf["value"]):
-            act = PAGE_ACTION_OF_EVENT.get(typ, "none")
-            if act == "query":
-                page, last = 1, max(-(-int(value // 1) // PAGE_LEN), 1)
-            elif page is not None and act == "first":
-                page = 1
-            elif page is not None and act == "next":
-                page = min(page + 1, last)
-            elif page is not None and act == "prev":
-                page = max(page - 1, 1)
-            out_ids.append(int(eid))
-            out_pages.append(page)
+    pdf = _in_time_order(pdfs)
+    for eid, typ, value in zip(pdf["event_id"], pdf["event_type"], pdf["value"]):
+        act = PAGE_ACTION_OF_EVENT.get(typ, "none")
+        if act == "query":
+            page, last = 1, max(-(-int(value // 1) // PAGE_LEN), 1)
+        elif page is not None and act == "first":
+            page = 1
+        elif page is not None and act == "next":
+            page = min(page + 1, last)
+        elif page is not None and act == "prev":
+            page = max(page - 1, 1)
+        out_ids.append(int(eid))
+        out_pages.append(page)
     if page is not None:
         state.update((page, last))
     yield pd.DataFrame({"event_id": out_ids,
@@ -202,17 +206,15 @@ MODE_OUT_SCHEMA = "event_id long, mode string"
 def _mode_state_fn(key, pdfs, state):
     """Per user: the mode in force after each request of the micro-batch,
     carried between batches in the state (starts at 'both')."""
-    import pandas as pd
     mode = state.get[0] if state.exists else "both"
     out_ids, out_modes = [], []
-    for pdf in pdfs:
-        pdf = pdf.sort_values(["ts", "event_id"])
-        for eid, typ in zip(pdf["event_id"], pdf["event_type"]):
-            new = MODE_OF_EVENT.get(typ)
-            if new is not None:
-                mode = new
-            out_ids.append(int(eid))
-            out_modes.append(mode)
+    pdf = _in_time_order(pdfs)
+    for eid, typ in zip(pdf["event_id"], pdf["event_type"]):
+        new = MODE_OF_EVENT.get(typ)
+        if new is not None:
+            mode = new
+        out_ids.append(int(eid))
+        out_modes.append(mode)
     state.update((mode,))
     yield pd.DataFrame({"event_id": out_ids, "mode": out_modes})
 
