@@ -44,7 +44,7 @@ from quarry.llm.components import components
 
 WORDS = 5
 SHARED = 3             # prefix shingles that a pair must share
-SKETCH_BITS = 20       # the sketch has 2 ** SKETCH_BITS counters
+SKETCH_BITS = 22       # the sketch has 2 ** SKETCH_BITS counters
 CHUNKS = 16            # pieces in which sketches are summed
 SALT_ROWS = 4096       # sets per salt of a common shingle
 BLOOM_BITS = 1 << 24   # bits of the filter on classes whose texts are fetched
@@ -110,6 +110,7 @@ def members(docs: DataFrame, salt: int) -> DataFrame:
 
     def run(batches):
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+        press = zstandard.ZstdCompressor(level=1)
         for part in slices(batches):
             sets = shingle_sets([words_of(t) for t in texts_of(part)])
             every = np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)
@@ -125,8 +126,8 @@ def members(docs: DataFrame, salt: int) -> DataFrame:
                 schema=schema)
         for k, counts in enumerate(np.split(sketch, CHUNKS)):
             if counts.any():
-                yield pa.RecordBatch.from_pylist([{"chunk": k, "counts": counts.tobytes()}],
-                                                 schema=schema)
+                yield pa.RecordBatch.from_pylist(
+                    [{"chunk": k, "counts": press.compress(counts.tobytes())}], schema=schema)
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, MEMBERS), "jaccard-members")
 
@@ -144,15 +145,33 @@ def _add_chunks(batches):
             {"chunk": pa.array([k], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
 
+def _counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint32)
+
+
+def _add_sketches(batches):
+    """Sum of the sketch chunks of a partition; holds one sketch at most."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, raw in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(),
+                          strict=True):
+            total[k] = total[k] + _counts(raw) if k in total else _counts(raw)
+    press = zstandard.ZstdCompressor(level=1)
+    for k, counts in total.items():
+        yield pa.RecordBatch.from_pydict({
+            "chunk": pa.array([k], pa.int32()),
+            "counts": pa.array([press.compress(counts.tobytes())], pa.binary())})
+
+
 def sketch_of(table: DataFrame) -> np.ndarray:
     """The corpus sketch: 2 ** SKETCH_BITS counters, summed in two levels."""
     parts = table.where("chunk is not null").select("chunk", "counts")
-    parts = parts.mapInArrow(_add_chunks, parts.schema)  # where they lie
-    done = parts.repartition("chunk").mapInArrow(_add_chunks, parts.schema)
+    parts = parts.mapInArrow(_add_sketches, parts.schema)  # where they lie
+    done = parts.repartition("chunk").mapInArrow(_add_sketches, parts.schema)
     size = (1 << SKETCH_BITS) // CHUNKS
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for r in done.collect():  # CHUNKS rows
-        sketch[r.chunk * size:(r.chunk + 1) * size] = np.frombuffer(r.counts, np.uint32)
+        sketch[r.chunk * size:(r.chunk + 1) * size] = _counts(r.counts)
     return sketch
 
 
@@ -181,8 +200,9 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, salt: int) -> DataFrame:
                 count = counts_of[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 first = np.argsort(count, kind="stable")[:prefix_length(len(own))]
                 s.append(own[first].view(np.int64))
-                salts.append((zlib.crc32(name.to_bytes(8, "little", signed=True))
-                              % (1 + count[first] // SALT_ROWS)).astype(np.int32))
+                parts = count[first] // SALT_ROWS  # 0: not salted; else salts from 1
+                salts.append(np.where(parts, 1 + zlib.crc32(own[:4].tobytes()) % (parts + 1), 0)
+                             .astype(np.int32))
                 c.append(np.full(len(first), name, np.int64))
                 n.append(np.full(len(first), len(own), np.int32))
                 pos.append(np.arange(len(first), dtype=np.int32))
@@ -204,9 +224,12 @@ def shared_lists(rows: DataFrame) -> DataFrame:
     return stored(held, "jaccard-lists")
 
 
-def candidates(pairs: DataFrame) -> DataFrame:
+def candidates(pairs: DataFrame, all_meetings: bool) -> DataFrame:
     """(x, y) of meetings (x, nx, px, y, ny, py) that pass the length and the
-    positional filter often enough; one row per pair."""
+    positional filter often enough; one row per pair. With all meetings of
+    every pair at hand: two sets have in common their meetings up to the last
+    one, and after it no more than either has left; pairs that this rules out
+    go as well."""
     nx, ny = F.col("nx"), F.col("ny")
     need = least_overlap(nx, ny)
     met = pairs.where((4 * F.least(nx, ny) >= 3 * F.greatest(nx, ny))
@@ -214,9 +237,14 @@ def candidates(pairs: DataFrame) -> DataFrame:
     ordered = F.col("x") < F.col("y")
     return (met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"),
                        F.when(ordered, nx).otherwise(ny).alias("nx"),
-                       F.when(ordered, ny).otherwise(nx).alias("ny"))
-            .groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("met"))
-            .where(F.col("met") >= F.least(F.lit(SHARED), least_overlap(nx, ny)))
+                       F.when(ordered, ny).otherwise(nx).alias("ny"),
+                       F.when(ordered, F.col("px")).otherwise(F.col("py")).alias("px"),
+                       F.when(ordered, F.col("py")).otherwise(F.col("px")).alias("py"))
+            .groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("met"),
+                                               F.max("px").alias("px"), F.max("py").alias("py"))
+            .where(F.col("met") >= F.least(F.lit(SHARED), need))
+            .where(F.lit(not all_meetings) | (
+                F.col("met") + F.least(nx - F.col("px"), ny - F.col("py")) - 1 >= need))
             .select("x", "y", "nx", "ny"))
 
 
@@ -353,10 +381,11 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, int]:
     lists = shared_lists(prefixes(docs, sketch_of(table), salt))
     texts = bodies(docs, lists, salt)
 
-    pairs = stored(candidates(meetings_with_least(lists)), "jaccard-pairs")
+    pairs = stored(candidates(meetings_with_least(lists), False), "jaccard-pairs")
     links = verified(pairs, classes, texts)
     discard(pairs)
-    pairs = stored(candidates(meetings_across(lists, components(links))), "jaccard-pairs")
+    pairs = stored(candidates(
+        meetings_across(lists, components(links)), True), "jaccard-pairs")
     more = verified(pairs, classes, texts)
     discard(pairs, lists, texts)
     roots = components(links.union(more))
