@@ -17,6 +17,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import itertools
 import random
 import zlib
 
@@ -35,7 +36,7 @@ EPOCHS = 2
 POPULATION = 4
 CHILDREN = 8           # per island and epoch
 FULL_ENOUGH = 0.99     # fill at which a bin is settled
-MEMO_WORDS = 1_200_000  # encoded words a worker remembers at a time (about 250 MB)
+MEMO_WORDS = 700_000   # encoded words a worker remembers at a time (about 150 MB)
 
 
 class Encoder:
@@ -48,6 +49,9 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     @staticmethod
     def parts(word: bytes) -> tuple[bytes, bytes]:
@@ -57,19 +61,40 @@ class Encoder:
             return word, b""
         return core, word[len(core):]
 
+    def encode_line(self, some: list[tuple[bytes, str]]) -> list[tuple[bytes, str]]:
+        """Encode words of Latin letters as one line; each is one word of the
+        tokenizer, so its last id carries the end mark. Gives back the words
+        if the marks don't match them one to one."""
+        e = self.tokenizer.encode_batch_fast([" ".join(s for _, s in some)], add_special_tokens=False)
+        ids = np.array(e[0].ids, "<u4")
+        ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(ends) != len(some):
+            return some
+        raw = ids.tobytes()
+        self.memo.update(zip((w for w, _ in some),
+                             (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        return []
+
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
         memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        new = {w for ws in words for w in ws if w not in memo}
+        new = set(itertools.chain.from_iterable(words)).difference(memo)
         cut = {w: self.parts(w.lower() if w.isascii() and b"<" not in w else w) for w in new}
-        todo = list({p for pair in cut.values() for p in pair if p and p not in memo})
-        for at in range(0, len(todo), 5000):
-            some = todo[at:at + 5000]
-            found = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for w, e in zip(some, found, strict=True):
+        todo = set(itertools.chain.from_iterable(cut.values())).difference(memo)
+        todo.discard(b"")
+        plain, other = [], []
+        for w in todo:
+            s = w.decode("utf-8", "replace")
+            letters = s.isalpha() and max(s) < "\u0250" and "\u0130" not in s
+            (plain if letters else other).append((w, s))
+        for at in range(0, len(plain), 1000):
+            other += self.encode_line(plain[at:at + 1000])
+        for at in range(0, len(other), 5000):
+            some = other[at:at + 5000]
+            found = self.tokenizer.encode_batch_fast([s for _, s in some], add_special_tokens=False)
+            for (w, _), e in zip(some, found, strict=True):
                 memo[w] = np.array(e.ids, "<u4").tobytes()
         for w, (core, tail) in cut.items():
             memo[w] = memo[core] + memo[tail] if tail else memo[core]
