@@ -103,11 +103,12 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
-             column: str = "text") -> DataFrame:
+             column: str = "text", keep_text: bool = False) -> DataFrame:
     """``mapInArrow`` over text-bounded slices: ``fn`` gives the new columns of
-    a slice; the columns of ``df`` other than ``column`` are carried along in
-    front of them. ``schema`` declares the new columns."""
-    keep = [f for f in df.schema.fields if f.name != column]
+    a slice; the columns of ``df`` are carried along in front of them,
+    ``column`` itself only with ``keep_text``. ``schema`` declares the new
+    columns."""
+    keep = [f for f in df.schema.fields if keep_text or f.name != column]
     out = StructType(keep + StructType.fromDDL(schema).fields)
     kinds = [(f.name, f.type) for f in arrow_schema(schema)]
     names = [f.name for f in keep]
@@ -120,3 +121,13 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
                 names=names + [n for n, _ in kinds])
 
     return df.mapInArrow(run, out)
+
+
+def rows_where(docs: DataFrame, score: Callable[[DataFrame], DataFrame], made: list[str],
+               condition: Column) -> DataFrame:
+    """The rows of ``docs`` whose scored form meets ``condition``, with the
+    columns of ``docs``; ``made`` are the columns that ``score`` adds, which
+    may clash with those of ``docs``."""
+    own = {c: f"_own_{c}" for c in docs.columns if c in made}
+    kept = score(docs.withColumnsRenamed(own)).where(condition).drop(*made)
+    return kept.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)

@@ -132,19 +132,6 @@ def members(docs: DataFrame, salt: int) -> DataFrame:
     return stored(docs.select("doc_id", "text").mapInArrow(run, MEMBERS), "jaccard-members")
 
 
-def _add_chunks(batches):
-    """Sum of the sketch chunks of a partition; holds one sketch at most."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, raw in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(),
-                          strict=True):
-            counts = np.frombuffer(raw, np.uint32)
-            total[k] = total[k] + counts if k in total else counts.copy()
-    for k, counts in total.items():
-        yield pa.RecordBatch.from_pydict(
-            {"chunk": pa.array([k], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())})
-
-
 def _counts(raw: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint32)
 
@@ -415,8 +402,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         sets = shingle_sets([words_of(t) for t in texts_of(part)])
         return {"_class": [_class_id(class_key(s, salt)) if len(s) else None for s in sets]}
 
-    named = map_rows(docs.withColumn("_whole", F.col("text")), name, "_class long").withColumn(
-        "text", F.col("_whole"))
+    named = map_rows(docs, name, "_class long", keep_text=True)
     chosen = named.join(kept, (F.col("_class") == F.col("_kept"))
                         & F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_class"])
     return chosen.select(*docs.columns).unionByName(

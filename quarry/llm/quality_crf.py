@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import crc_mod, labelled_sample, map_rows, texts_of
+from quarry.llm.common import crc_mod, labelled_sample, map_rows, rows_where, texts_of
 
 TRAIN_ROWS = {0: 3000, 1: 5000}
 ROUNDS = 200
@@ -193,8 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column):
     return train(labelled_sample(docs, labels, "quality", fold, TRAIN_ROWS))
 
 
-def score(docs: DataFrame, model) -> DataFrame:
-    """All columns of ``docs`` but ``text``, then ``score`` and ``bad_lines``
+def score(docs: DataFrame, model, keep_text: bool = False) -> DataFrame:
+    """All columns of ``docs`` (``text`` if asked for), then ``score`` and ``bad_lines``
     (numbers from 0 of the lines that are rather bad)."""
 
     def run(part: pa.RecordBatch) -> dict:
@@ -208,7 +208,7 @@ def score(docs: DataFrame, model) -> DataFrame:
         total = np.bincount(doc, good * size, n) / np.bincount(doc, size, n)
         return {"score": np.clip(total, 0, 1), "bad_lines": bad}
 
-    return map_rows(docs, run, "score double, bad_lines array<int>")
+    return map_rows(docs, run, "score double, bad_lines array<int>", keep_text=keep_text)
 
 
 def op8_quality_crf(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -223,6 +223,5 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline stage: the documents that score THRESHOLD or more, with the
     columns of ``docs``."""
     model = fit(docs, labels, crc_mod(F.col("doc_id"), 5) != 0)
-    scored = score(docs.withColumn("_whole", F.col("text")), model)
-    return (scored.where(F.col("score") >= THRESHOLD).withColumn("text", F.col("_whole"))
-            .select(*docs.columns))
+    return rows_where(docs, lambda d: score(d, model, keep_text=True), ["score", "bad_lines"],
+                      F.col("score") >= THRESHOLD)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import labelled_sample, map_rows, texts_of
+from quarry.llm.common import crc_mod, labelled_sample, map_rows, rows_where, texts_of
 
 TRAIN_ROWS = {0: 2500, 1: 1500}  # training documents of each class at most
 ROUNDS = 120
@@ -149,8 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column) -> Model:
     return train(labelled_sample(docs, labels, "toxic", fold, TRAIN_ROWS))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` but ``text``, then ``score`` and ``offending``
+def score(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+    """All columns of ``docs`` (``text`` if asked for), then ``score`` and ``offending``
     (start, end and score of the sentences at 0.5 or more)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # features of the bounded sample
 
@@ -164,11 +164,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return {"score": scores, "offending": where}
 
     return map_rows(docs, run, "score double, "
-                    "offending array<struct<start: long, end: long, score: double>>")
+                    "offending array<struct<start: long, end: long, score: double>>",
+                    keep_text=keep_text)
 
 
 def op2_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    from quarry.llm.common import crc_mod
     fold = crc_mod(F.col("doc_id"), 3)
     model = fit(docs, labels, fold != 1)
     return score(docs.select("doc_id", "text"), model).select(
@@ -180,8 +180,6 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline stage: the documents whose score stays below THRESHOLD, with
     the columns of ``docs``. A text is rejected whole; all rows with a clean
     text are kept."""
-    from quarry.llm.common import crc_mod
     model = fit(docs, labels, crc_mod(F.col("doc_id"), 3) != 1)
-    scored = score(docs.withColumn("_whole", F.col("text")), model)
-    return (scored.where(F.col("score") < THRESHOLD).withColumn("text", F.col("_whole"))
-            .select(*docs.columns))
+    return rows_where(docs, lambda d: score(d, model, keep_text=True), ["score", "offending"],
+                      F.col("score") < THRESHOLD)
