@@ -49,6 +49,16 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)
 
 
+def smallest(df: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest ``h``, a 64-bit hash. All but about
+    the 2n smallest are filtered out in their tasks first, so that what
+    reaches the driver does not grow with the number of tasks."""
+    total = df.count()
+    if total > 4 * n:
+        df = df.where(F.col("h") < int(-2 ** 63 + 2 ** 64 * (2 * n / total)))
+    return df.orderBy("h").limit(n)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Column,
                     per_class: dict[int, int]) -> list[tuple[str, int]]:
     """At most ``per_class[y]`` (text, y) rows of each class for training.
@@ -64,7 +74,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: Column
            .withColumn("h", F.xxhash64("doc_id")))
     out: list[tuple[str, int]] = []
     for y, n in sorted(per_class.items()):
-        picked = ids.where(F.col("y") == y).orderBy("h", "doc_id").limit(n)
+        picked = smallest(ids.where(F.col("y") == y), n)
         rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
                 .join(F.broadcast(picked.select("doc_id", "h")), "doc_id")  # n rows at most
                 .orderBy("h", "doc_id", F.xxhash64("text")).limit(n).select("text"))

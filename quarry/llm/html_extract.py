@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import map_rows, texts_of
+from quarry.llm.common import map_rows, smallest, texts_of
 
 TRAIN_PAGES = 2000  # labelled pages that weights are fitted on at most
 MOST = 3.0          # bound of a weight
@@ -172,10 +172,11 @@ def extract(page: str, weights: dict[str, float]) -> str:
 
 def fit_pages(pages: DataFrame) -> dict[str, float]:
     """Weights from at most TRAIN_PAGES labelled pages, those whose markup
-    names one article; taken by the hash of the page."""
+    names one article; those with the smallest hash of the row."""
     labelled = pages.where("html rlike '(?i)<(article|main)[ >]|itemprop=.?articleBody'")
-    rows = (labelled.select("html").orderBy(F.xxhash64("html"), "html").limit(TRAIN_PAGES).collect())
-    return fit([r.html for r in rows])
+    rows = smallest(labelled.select("html", F.xxhash64("page_id", "url", "html").alias("h")),
+                    TRAIN_PAGES)
+    return fit([r.html for r in rows.select("html").collect()])
 
 
 def main_text(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
