@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import arrow_schema, discard, map_rows, slices, stored, texts_of
 
-COMMON = 600_000     # distinct words at most whose ids the tasks are given
+COMMON = 500_000     # distinct words at most whose ids the tasks are given
 COMMON_BYTES = 48    # longer words are folded in their rows
-COUNTED = 400_000    # distinct words that a task counts before it hands them on
+COUNTED = 200_000    # distinct stretches that a task counts before it hands them on
+KNOWN = 150_000      # stretches whose ids a task remembers at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -103,60 +104,85 @@ def fold(ranks: RankMap, table: Column, word: Column) -> Column:
     """Ids of one word, a binary column: the merges folded over its bytes.
     ``table`` is the bound literal of ``ranks``.
 
-    The state has the ids of the parts and, at each part, the rank of it joined
-    with the next one (null: no token). A step puts the leftmost pair of the
-    lowest rank in the place of its first part, under the id that is that
-    rank, drops the second part and looks up the two new pairs."""
+    The state is the parts: the id of each and the rank of it joined with the
+    next one (null: no token). A step puts the leftmost pair of the lowest rank
+    in the place of its first part, under the id that is that rank, drops the
+    second part and looks up the two new pairs."""
     chars = F.split(F.decode(word, "ISO-8859-1"), "")
-    start = F.transform(chars, lambda c: F.element_at(table["bytes"], F.ascii(c) + 1))
+    bytes_ = F.transform(chars, lambda c: F.element_at(table["bytes"], F.ascii(c) + 1))
     steps = F.sequence(F.lit(2), F.greatest(F.octet_length(word), F.lit(2)))
 
-    def with_ranks(parts: Column) -> Column:
-        return F.struct(parts.alias("parts"), F.transform(parts, lambda p, i: ranks.rank(
-            table, p, F.get(parts, i + 1))).alias("pairs"))
+    def part(p: Column, following: Column) -> Column:
+        return F.struct(p.alias("id"), ranks.rank(table, p, following).alias("rank"))
 
     def join(state: Column, least: Column, at: Column) -> Column:
         """``at``: index from 0 of the pair's first part."""
-        parts, pairs = state["parts"], state["pairs"]
-        new_pairs = F.transform(pairs, lambda r, i: F.when(
-            i == at, ranks.rank(table, least, F.get(parts, at + 2))).when(
-            i == at - 1, ranks.rank(table, F.get(parts, at - 1), least)).otherwise(r))
-        return F.struct(
-            F.filter(F.transform(parts, lambda p, i: F.when(i == at, least).otherwise(p)),
-                     lambda _, i: i != at + 1).alias("parts"),
-            F.filter(new_pairs, lambda _, i: i != at + 1).alias("pairs"))
+        return F.filter(F.transform(state, lambda x, i: F.when(
+            i == at, part(least, F.get(state, at + 2)["id"])).when(
+            i == at - 1, part(x["id"], least)).otherwise(x)), lambda _, i: i != at + 1)
 
     def step(state: Column, _: Column) -> Column:
-        return bind(F.array_min(state["pairs"]), lambda least: F.when(
-            least.isNull(), state).otherwise(bind(
-                F.array_position(state["pairs"], least).cast("int") - 1,
-                lambda at: join(state, least, at))))
+        return bind(F.transform(state, lambda x: x["rank"]), lambda pairs: bind(
+            F.array_min(pairs), lambda least: F.when(least.isNull(), state).otherwise(bind(
+                F.array_position(pairs, least).cast("int") - 1,
+                lambda at: join(state, least, at)))))
 
-    return bind(start, lambda s: F.aggregate(steps, with_ranks(s), step, lambda s: s["parts"]))
+    return bind(bytes_, lambda s: F.aggregate(
+        steps, F.transform(s, lambda p, i: part(p, F.get(s, i + 1))), step,
+        lambda done: F.transform(done, lambda x: x["id"])))
 
 
 # --- words -----------------------------------------------------------------
 
+class Splitter:
+    """Words of a text by the pattern, with the text first cut before every
+    space. No word spans such a place unless white space meets white space
+    there (two in a row decide what a run of them is), so a stretch that
+    occurs again need not be cut again."""
+
+    def __init__(self, pattern: str):
+        self.words = regex.compile(pattern).findall
+        self.doubled = regex.compile(r"\s\s").search
+
+    def stretches(self, text: str) -> list[str] | None:
+        """What stands before the first space and after each space; None if
+        the text must be cut as a whole."""
+        return None if self.doubled(text) else text.split(" ")
+
+    def after_space(self, stretch: str) -> list[str]:
+        return self.words(" " + stretch)
+
+
 def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
     """(word, n) of every distinct word of all texts, longer ones left out."""
     schema = arrow_schema("word binary, n long")
 
     def run(batches):
-        words = regex.compile(pattern).findall
-        counts: Counter[str] = Counter()
+        split = Splitter(pattern)
+        counts: Counter[str] = Counter()   # words
+        again: Counter[str] = Counter()    # stretches after a space
 
         def out():
+            for stretch, n in again.items():
+                for w in split.after_space(stretch):
+                    counts[w] += n
             rows = [(w.encode("utf-8", "surrogatepass"), n) for w, n in counts.items()]
             rows = [r for r in rows if len(r[0]) <= COMMON_BYTES]
             counts.clear()
+            again.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
                                                pa.array([r[1] for r in rows], pa.int64())],
                                               schema=schema)
 
         for part in slices(batches):
             for text in texts_of(part):
-                counts.update(words(text))
-            if len(counts) > COUNTED:
+                own = split.stretches(text)
+                if own is None:
+                    counts.update(split.words(text))
+                else:
+                    counts.update(split.words(own[0]))
+                    again.update(own[1:])
+            if len(counts) + len(again) > COUNTED:
                 yield out()
         yield out()
 
@@ -197,18 +223,40 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     merges = RankMap(ranks)
     shared = docs.sparkSession.sparkContext.broadcast(common_words(docs, pattern, merges))
 
+    split = Splitter(pattern)
+    memo: dict[str, bytes] = {}  # of a task: ids of stretches whose words are all known
+
     def mark(part: pa.RecordBatch) -> dict:
-        known, words = shared.value, regex.compile(pattern).findall
+        known = shared.value.get
         marked, rare = [], []
+
+        def ids_of(words: list[str], own: dict[str, bytes]) -> tuple[bytes, bool]:
+            """Ids of words, and whether all are known."""
+            out = list(map(known, words))
+            if None not in out:
+                return b"".join(out), True
+            for k, w in enumerate(words):
+                if out[k] is None:
+                    out[k] = own.setdefault(w, (-len(own) - 1).to_bytes(4, "little", signed=True))
+            return b"".join(out), False
+
+        if len(memo) > KNOWN:
+            memo.clear()
         for text in texts_of(part):
             own: dict[str, bytes] = {}
-            found = words(text)
-            out = list(map(known.get, found))
-            if None in out:
-                for k, w in enumerate(found):
-                    if out[k] is None:
-                        out[k] = own.setdefault(w, (-len(own) - 1).to_bytes(4, "little", signed=True))
-            marked.append(b"".join(out))
+            stretches = split.stretches(text)
+            if stretches is None:
+                marked.append(ids_of(split.words(text), own)[0])
+            else:
+                first = ids_of(split.words(stretches[0]), own)[0]
+                out = list(map(memo.get, stretches))
+                for k, stretch in enumerate(stretches):
+                    if k and out[k] is None:
+                        out[k], whole = ids_of(split.after_space(stretch), own)
+                        if whole:
+                            memo[stretch] = out[k]
+                out[0] = first
+                marked.append(b"".join(out))
             rare.append([w.encode("utf-8", "surrogatepass") for w in own])
         return {"marked": marked, "rare": rare}
 
