@@ -2,6 +2,8 @@ import hashlib
 
 import public_tokenizers
 import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from quarry.llm import bpe as B
 from quarry.llm.common import table
@@ -54,3 +56,13 @@ def test_filled():
     marked = np.array([5, -1, 6, -2, -1], "<i4").tobytes()
     assert B.filled(marked, [[7, 8], [9]]).tolist() == [5, 7, 8, 6, 9, 7, 8]
     assert B.filled(b"", []).tolist() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1.,'s \n\t\x1c　é", max_size=24))
+def test_stretches_hold_the_words(text):
+    split = B.Splitter(public_tokenizers.PATTERN)
+    own = split.stretches(text)
+    if own is not None:
+        words = split.words(own[0]) + [w for s in own[1:] for w in split.after_space(s)]
+        assert words == split.words(text)
