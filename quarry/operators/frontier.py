@@ -59,17 +59,21 @@ def robots_allowed(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def frontier(links: DataFrame, seen: DataFrame, rules: DataFrame,
-             budget: int = -1) -> DataFrame:
+             budget: int = -1, hosts: tuple[str, ...] = ()) -> DataFrame:
     """Next URLs to fetch.
 
     ``links(page_id, url, pos, dst)`` are the resolved links in discovery
     order (page, then position on the page). A URL is taken at its first
     discovery, unless already seen (F6), its port is invalid (F3) or robots
-    forbid it (F4). Links to the linking page's own host are preferred and
-    taken first, newest discovery first (pushed on the stack); the others
+    forbid it (F4), or its ``content_type``, where ``links`` has that column
+    and it is known, is not HTML (F5). Links to the linking page's own host,
+    or, if ``hosts`` is given, to hosts that one of these patterns finds, are
+    preferred and taken first, newest discovery first (pushed on the stack); the others
     wait at the bottom, oldest first (W9). ``budget`` > 0 keeps that many
     (F9). Returns ``(url, host, preferred, position)``.
     """
+    if "content_type" in links.columns:
+        links = links.where(F.coalesce(F.contains("content_type", F.lit("text/html")), F.lit(True)))
     first = (links.groupBy(F.col("dst").alias("url"))
              .agg(F.min(F.struct("page_id", "pos", "url")).alias("d"))
              .select("url", F.col("d.page_id").alias("page_id"), F.col("d.pos").alias("pos"),
@@ -84,6 +88,8 @@ def frontier(links: DataFrame, seen: DataFrame, rules: DataFrame,
     cand = (cand.join(allowed, "url", "left_semi")
             .withColumn("host", U.host(F.col("url")))
             .withColumn("preferred", F.col("host") == U.host(F.col("src"))))
+    if hosts:
+        cand = cand.withColumn("preferred", F.col("host").rlike("|".join(f"(?:{h})" for h in hosts)))
     # stack order: preferred newest-first, then the rest oldest-first
     key_page = F.when(F.col("preferred"), -F.col("page_id")).otherwise(F.col("page_id"))
     key_pos = F.when(F.col("preferred"), -F.col("pos")).otherwise(F.col("pos"))

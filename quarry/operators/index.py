@@ -1,6 +1,7 @@
 """Two-field inverted index.
 
-``build_index(pages)`` returns lazy DataFrames:
+``build_index(pages)`` computes the postings once (a checkpoint job) and
+returns DataFrames on them:
 
 * ``docs(url, title)``                   — stored fields
 * ``postings(field, term, url, tf, len)`` — one row per (field, term, doc);

@@ -6,7 +6,7 @@ group when it holds every distinct term of the group in that field, and
 matches the query when any group matches. The score of a document is the sum
 over its matched groups of, per term, ``a * pagerank + b * bm25``.
 
-Plan shape (one lazy DataFrame, no driver loop):
+Plan shape (no driver loop; full rankings run the jobs of a global sort):
 
 1. query terms ⟕ ``doc_freq`` — idf per term, groups with an unknown term drop;
 2. per group: term list, size and its *rarest* term;

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
+from http import HTTPStatus
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.constants import FAILED_STATUS, REDIRECT_PREFIX
 from quarry.sources.tables import literal_table
 
-# --- fixed values: HTTP status descriptions -----------------------------------
-HTTP_CODES = (
-    (200, "OK"), (301, "Moved Permanently"), (302, "Found"),
-    (304, "Not Modified"), (400, "Bad Request"), (401, "Unauthorized"),
-    (403, "Forbidden"), (404, "Not Found"), (500, "Internal Server Error"),
-    (502, "Bad Gateway"), (503, "Service Unavailable"),
-)
+# Every registered HTTP status with its description.
+HTTP_CODES = tuple((s.value, s.phrase) for s in HTTPStatus)
 
 
 def result_view(hits: DataFrame, docs: DataFrame, images: DataFrame,
@@ -29,8 +26,8 @@ def result_view(hits: DataFrame, docs: DataFrame, images: DataFrame,
 
 def link_health(urls: DataFrame, statuses: DataFrame) -> DataFrame:
     """F8: ``urls(url)`` ⟕ ``statuses(url, status)``; a URL without a status
-    counts as a failed request. The status text comes from a fixed code table
-    (11 rows, broadcast). ``(url, status, ok, description)``"""
+    counts as a failed request. The status text comes from the table of HTTP
+    statuses (some 60 rows, broadcast). ``(url, status, ok, description)``"""
     spark = urls.sparkSession
     codes = F.broadcast(literal_table(spark, list(HTTP_CODES), "status int, description string"))
     return (urls.join(statuses.select("url", "status"), "url", "left")

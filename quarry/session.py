@@ -24,7 +24,7 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "quarry", extra: dict | None = None) -> SparkSession:
     """Builder used by tests, the bench and the examples.
 
@@ -33,7 +33,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
     if extra:
         conf.update(extra)
@@ -41,6 +42,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -90,6 +92,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tables", name)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours, by Spark's own file system access."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -53,3 +53,15 @@ def test_link_health(spark):
     got = {r.url: (r.status, r.ok, r.description) for r in V.link_health(urls, st).collect()}
     assert got == {"u200": (200, True, "OK"), "u301": (301, False, "Moved Permanently"),
                    "u404": (404, False, "Not Found"), "umissing": (400, False, "Bad Request")}
+
+
+def test_frontier_content_type_and_listed_hosts(spark):
+    links = spark.createDataFrame([
+        (1, "http://h/p1", 0, "http://h/a", "text/html; charset=utf-8"),
+        (1, "http://h/p1", 1, "http://wanted.org/x", None),
+        (1, "http://h/p1", 2, "http://wanted.org/pic", "image/png")],
+        "page_id long, url string, pos int, dst string, content_type string")
+    seen = spark.createDataFrame([], "url string")
+    rules = spark.createDataFrame([], FR.ROBOTS_SCHEMA)
+    got = [r.url for r in FR.frontier(links, seen, rules, hosts=(r"wanted\.",)).orderBy("position").collect()]
+    assert got == ["http://wanted.org/x", "http://h/a"]
