@@ -274,7 +274,9 @@ def op5_secret_scan(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """Pipeline stage: every span replaced by MARK (overlapping spans by one),
     ``n_chars`` counted anew where there is such a column."""
-    columns = docs.columns
+    columns, kind = docs.columns, dict(docs.dtypes).get("n_chars")
+    own = {c: f"_own_{c}" for c in columns if c in ("found", "kinds") or c[0] == "_"}
+    docs = docs.withColumnsRenamed(own)  # clashing names stand aside
     found = in_order([F.col("found")[k] for k in range(len(RULES))], [r.kind for r in RULES])
     rows = scan(docs.withColumn("_null", F.col("text").isNull())).withColumn("_all", found)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
@@ -287,8 +289,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     changed = F.size("_all") > 0
     rows = rows.withColumn("text", F.when(changed, F.array_join(parts, ""))
                            .when(~F.col("_null"), F.col("text")))
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
+    if kind:
         rows = rows.withColumn("n_chars", F.when(changed, F.length("text").cast(kind))
                                .otherwise(F.col("n_chars")))
-    return rows.select(*columns)
+    return rows.select(*docs.columns).withColumnsRenamed({v: k for k, v in own.items()})
