@@ -393,6 +393,9 @@ def op7_ngram_jaccard(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Pipeline stage: of every component the document with the smallest id,
     one row; documents with an empty set all stay."""
+    columns = docs.columns
+    own = {c: f"_own{c}" for c in columns if c[0] == "_"}
+    docs = docs.withColumnsRenamed(own)  # names that may clash stand aside
     rows, salt = near_duplicates(docs)
     kept = (rows.where("root is not null").groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "c")).alias("k"))
@@ -405,5 +408,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     named = map_rows(docs, name, "_class long", keep_text=True)
     chosen = named.join(kept, (F.col("_class") == F.col("_kept"))
                         & F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_class"])
-    return chosen.select(*docs.columns).unionByName(
+    kept = chosen.select(*docs.columns).unionByName(
         named.where("_class is null").select(*docs.columns))
+    return kept.withColumnsRenamed({v: k for k, v in own.items()})

@@ -76,7 +76,7 @@ def test_chains_groups_and_odd_rows(spark, monkeypatch):
     rows += [(None, base), (None, "said twice without id"), (None, "said twice without id"),
              (600, "A B c d"), (601, "a b C d"), (602, "a b c d e f"), (603, "a b c d e g")]
     rng.shuffle(rows)
-    docs = frame(spark, [(i, t, None) for i, t in rows], clash=("c", "root", "n")).repartition(5)
+    docs = frame(spark, [(i, t, None) for i, t in rows], clash=("c", "root", "n", "_id", "_class")).repartition(5)
     assert got(docs) == brute(rows)
     stay = J.one_of_each(docs)
     assert stay.columns == docs.columns
