@@ -6,8 +6,11 @@ Several islands search each shard: an individual is a list of bins, crossover
 takes whole well-filled bins of one parent into the other, drops the bins that
 hold a piece twice and best-fits the displaced pieces; mutation dissolves the
 emptiest bins. After every epoch the best individual of each island moves to
-the next island. Bins that are still not well filled are dealt anew into fewer
-shards, level by level, until one shard is left.
+the next island. Bins that are still not well filled are dealt anew, level by
+level, until one shard is left. After a level that settles less than a quarter
+of its pieces the shards become twice as large, up to ``GROWN`` times, and then
+the fill that settles a bin falls (``FILLS``, down to none): pieces that can't
+be combined to full sequences settle as they were packed best.
 
 Edge cases: a null or empty text is the single end token; repeated rows are
 packed once each; null ids are kept; an empty table gives an empty result;
@@ -35,7 +38,9 @@ ISLANDS = 3
 EPOCHS = 2
 POPULATION = 4
 CHILDREN = 8           # per island and epoch
-FULL_ENOUGH = 0.99     # fill at which a bin is settled
+FILLS = (0.999, 0.99, 0.9, 0.5, 0.0)  # fills at which a bin is settled, one after the other
+SETTLES = 0.25         # share of its pieces that a level should settle
+GROWN = 4              # times SHARD that a shard has at most
 MEMO_WORDS = 700_000   # encoded words a worker remembers at a time (about 150 MB)
 
 
@@ -283,16 +288,25 @@ def pack_shards(rows: DataFrame, n_shards: int, level: int) -> DataFrame:
 
 
 def place(rows: DataFrame) -> DataFrame:
-    """(pid, sequence_id, offset) of every row (pid, length)."""
+    """(pid, sequence_id, offset) of every row (pid, length). Ends: a level
+    leaves at most 1 - SETTLES of its pieces, doubles the shards, at most to
+    GROWN times, or moves on in FILLS, whose last settles every bin."""
     settled = rows.where(F.col("length") == CAPACITY).select(
         "pid", F.col("pid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     open_, level = rows.where(F.col("length") < CAPACITY).select("pid", "length"), 0
-    while (n := open_.count()) > 0:
-        shards = max(1, round(n / SHARD))
+    n, size, fills = open_.count(), SHARD, list(FILLS)
+    while n > 0:
+        shards = max(1, round(n / size))
         packed = stored(pack_shards(open_, shards, level), f"packed-{level}")
-        done = F.col("fill") >= FULL_ENOUGH * CAPACITY if shards > 1 else F.lit(True)
+        done = F.col("fill") >= fills[0] * CAPACITY if shards > 1 else F.lit(True)
         settled = settled.unionByName(packed.where(done).select("pid", "sequence_id", "offset"))
         open_, level = packed.where(~done).select("pid", "length"), level + 1
+        before, n = n, open_.count()
+        if n > (1 - SETTLES) * before:
+            if size < GROWN * SHARD:
+                size *= 2
+            else:
+                fills.pop(0)
     return settled
 
 

@@ -67,6 +67,28 @@ def test_several_shards_and_levels(spark, monkeypatch):
     assert len(fill) <= 1.08 * sum(length.values()) / P.CAPACITY
 
 
+@pytest.mark.parametrize("lengths,most", [
+    ([2500] * 3000, 3000),                                     # no two fit together
+    ([1400] * 9001, 4502),                                     # two fill 0.68, three are too long
+    ([2100 + 7 * i % 1900 for i in range(2800)] + [300] * 400, 2800)])
+def test_pieces_that_do_not_combine_settle(spark, monkeypatch, lengths, most):
+    one_level = P.pack_shards
+
+    def counted(rows, n_shards, level):
+        assert level < 12, "goes on for ever"
+        return one_level(rows, n_shards, level)
+
+    monkeypatch.setattr(P, "pack_shards", counted)
+    rows = spark.createDataFrame(list(enumerate(lengths)), "pid long, length long")
+    placed = P.place(rows).collect()
+    assert sorted(r.pid for r in placed) == list(range(len(lengths)))
+    fill = defaultdict(int)
+    for r in sorted(placed, key=lambda r: r.offset):
+        assert r.offset == fill[r.sequence_id]
+        fill[r.sequence_id] += lengths[r.pid]
+    assert max(fill.values()) <= P.CAPACITY and len(fill) <= most
+
+
 @pytest.mark.parametrize("text", [
     "Hello,, it's <|endoftext|> foo.<|startoftext|>bar <|EndOfText|>", "a\x1cz\x85w　q",
     "don't.he'll,we'd... 12,3.4 ,. .,a,b", "İstanbul ΣΑΣ, ſ's é,.x ́y"])
