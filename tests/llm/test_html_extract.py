@@ -55,6 +55,32 @@ def test_pages_without_article(weights):
     assert X.extract(page, weights) == "plain page of words that go on\n\nand on they go"
 
 
+WORDS = "<p>first words of the whole story</p><p>and the rest of it</p>"
+
+
+@pytest.mark.parametrize("body", [
+    "<div class='site has-sidebar'><article>%s</article></div>",
+    "<div class='no-sidebar'><div class='page-with-header'><main>%s</main></div></div>",
+    "<form id='aspnetForm'><article>%s</article></form>",
+    "<main><div class='has-sidebar'><article>%s</article></div></main>",
+    "<form action='x'><div class='post'>%s</div></form>",
+    "<div class='site has-sidebar'><div class='post'>%s</div><div id='comments'><p>what a page</p></div></div>",
+    "<div class='has-sidebar'><article>%s<div class='ad'>buy it</div></article></div>",
+    "<article>%s</article><div class='related'><article><p>other stories to read now</p></article></div>",
+    "".join(f"<div class='elementor-element-{k} elementor-widget-text'>{p}</p></div>"
+            for k, p in enumerate(WORDS.split("</p>")[:-1])),
+])
+def test_wrappers_are_not_side_matter(weights, body):
+    page = PAGE % (body % WORDS if "%s" in body else body)
+    assert X.extract(page, weights) == "first words of the whole story\n\nand the rest of it"
+    assert X.extract(page.replace("<body>", "<body class='has-sidebar'>"), {}) == X.extract(page, {}) != ""
+
+
+def test_many_comments_are_still_side_matter(weights):
+    page = PAGE % ("<div class='post'>%s</div><div id='comments'>%s</div>" % (WORDS, "<p>what a page</p>" * 90))
+    assert X.extract(page, weights) == "first words of the whole story\n\nand the rest of it"
+
+
 @pytest.mark.parametrize("scores", [[], [-1, -2], [1, -2, 3, -1, 2, -9, 3], [2, -1, -1, 2]])
 def test_linear_scan_finds_the_maximum(scores):
     start, end = X.best_region(scores)
