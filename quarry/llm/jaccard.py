@@ -271,6 +271,23 @@ def meetings_across(lists: DataFrame, roots: DataFrame) -> DataFrame:
             .drop("rx", "ry", "main", "s"))
 
 
+def meetings_of_all(lists: DataFrame) -> DataFrame:
+    """Every pair of classes of one shingle. The salts of a shingle are its
+    blocks; pairs of blocks meet under keys of their own, so that no key holds
+    more than two blocks."""
+    heads = lists.select("s", "salt").distinct()
+    salts = heads.groupBy("s").agg(F.collect_set("salt").alias("salts"))
+    dealt = lists.select("s", "salt", "c", "n", "pos").join(heads.join(salts, "s"), ["s", "salt"])
+    left = dealt.select("s", F.col("salt").alias("i"),
+                        F.explode(F.filter("salts", lambda j: j >= F.col("salt"))).alias("j"),
+                        F.col("c").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"))
+    right = dealt.select("s", F.explode(F.filter("salts", lambda i: i <= F.col("salt"))).alias("i"),
+                         F.col("salt").alias("j"),
+                         F.col("c").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"))
+    return (left.join(right, ["s", "i", "j"])
+            .where((F.col("i") < F.col("j")) | (F.col("x") < F.col("y"))).drop("s", "i", "j"))
+
+
 def _bits(c: Column) -> Column:
     """The positions of a class in the Bloom filter."""
     return F.array(*[F.pmod(F.xxhash64(c, F.lit(k)), F.lit(BLOOM_BITS)) for k in range(3)])
@@ -355,6 +372,25 @@ def collision(rows: DataFrame) -> bool:
     return not twice.isEmpty()
 
 
+def linked_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all links (a, b) between classes, a < b, each once,
+    and the membership (doc_id, n, c) of every document; c is null for an
+    empty set. Documents of one class link as well. Unlike near_duplicates it
+    forms every pair of a group of near copies: the output has them all."""
+    salt = 0
+    while collision((table := members(docs, salt)).where("n > 0")):
+        discard(table)
+        salt += 1
+    own = table.where("chunk is null").select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c"))
+    classes = table.where("n > 0").groupBy("c").agg(F.first("cells").alias("cells"))
+    lists = shared_lists(prefixes(docs, sketch_of(table), salt))
+    texts = bodies(docs, lists, salt)
+    pairs = stored(candidates(meetings_of_all(lists), True), "jaccard-pairs")
+    links = verified(pairs, classes, texts)
+    discard(pairs, lists, texts)
+    return links, own
+
+
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, int]:
     """(doc_id, n, c, root) of every document: set size, class, and the least
     class of its component; c and root are null for an empty set. Also the

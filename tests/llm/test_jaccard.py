@@ -86,7 +86,30 @@ def test_chains_groups_and_odd_rows(spark, monkeypatch):
     assert kept == sorted([*named, *empty, "None", "None"])
 
 
+@pytest.mark.parametrize("salt_rows", [8, 10**9])
+def test_all_linked_pairs(spark, monkeypatch, salt_rows):
+    monkeypatch.setattr(J, "SALT_ROWS", salt_rows)
+    rng = random.Random(6)
+    base, other = prose(1, 120), prose(7, 90)
+    rows = [(i, t) for i, t, _ in ODD] + [(100 + i, edited(base, rng, rng.randint(0, 9))) for i in range(60)]
+    rows += [(300 + i, edited(other, rng, rng.randint(0, 4))) for i in range(20)]
+    rows += [(600, "A B c d"), (601, "a b C d"), (602, "a b c d e f"), (603, "a b c d e g")]
+    links, members = J.linked_pairs(frame(spark, [(i, t, None) for i, t in rows]).repartition(5))
+    held = [(r.doc_id, r.n, r.c) for r in members.collect()]
+    assert sorted((str(d), n) for d, n, _ in held) == sorted((str(d), len(shingles(t))) for d, t in rows)
+    texts = {c: next(frozenset(shingles(t)) for e, t in rows if e == d) for d, _, c in held if c is not None}
+    sets = sorted(set(texts.values()), key=sorted)
+    assert len(sets) == len(texts)
+    want = {frozenset((a, b)) for k, a in enumerate(sets) for b in sets[:k]
+            if 100 * len(a & b) >= 75 * len(a | b)}
+    found = [(r.a, r.b) for r in links.collect()]
+    assert all(a < b for a, b in found) and len(found) == len(set(found))
+    assert {frozenset((texts[a], texts[b])) for a, b in found} == want
+    assert len(want) > 100
+
+
 def test_empty_table(spark):
+    assert J.linked_pairs(spark.createDataFrame([], SCHEMA))[0].count() == 0
     assert J.op7_ngram_jaccard(spark.createDataFrame([], SCHEMA)).count() == 0
     assert J.one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
 
