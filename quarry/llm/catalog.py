@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import (bpe, fingerprint, host_rules, html_extract, jaccard, lm_score, packing,
+from quarry.llm import (bpe, collocations, fingerprint, host_rules, html_extract, jaccard, lm_score, packing,
                         quality_crf, secrets, toxicity, whitening)
 from quarry.llm.common import table
 
@@ -37,13 +37,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_crf": _on_labelled(quality_crf.op8_quality_crf),
         "op9_fingerprint": _on_documents(fingerprint.op9_fingerprint),
         "op10_host_rules": _on_documents(host_rules.op10_host_rules),
+        "op12_collocations": _on_documents(collocations.op12_collocations),
         "op13_whitening": lambda spark, sf_dir: whitening.op13_whitening(
             table(spark, sf_dir, "embeddings")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_secret_scan": OP5_SQL, "op10_host_rules": OP10_SQL}
+    return {"op5_secret_scan": OP5_SQL, "op10_host_rules": OP10_SQL, "op12_collocations": OP12_SQL}
 
 
 #: Words are runs of bytes other than blanks; windows of three words.
@@ -121,3 +122,40 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
   coalesce(spans, '') AS spans
 FROM t LEFT JOIN g USING (rid)
 """
+
+
+#: Phrases counted as joined strings over every piece; products as HUGEINT.
+OP12_SQL = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM t),
+g AS (
+  SELECT lang, m, list_aggregate(w[i:i + m - 1], 'string_agg', ' ') AS phrase FROM (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+    FROM p, (VALUES (1), (2), (3)) AS s(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+k AS (
+  SELECT c.lang, c.m, c.phrase, c.a, k, x.f AS l, y.f AS r, 1000000 * c.a * c.a // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) AS c
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ') AND x.m = k
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ') AND y.m = c.m - k),
+low AS (
+  SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, m, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase FROM c, (VALUES (1), (2)) AS s(i) WHERE m = 3)
+  GROUP BY ALL),
+r AS (
+  SELECT low.lang, low.phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank
+  FROM low LEFT JOIN longer ON longer.lang = low.lang AND longer.phrase = low.phrase AND low.m = 2
+  WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT r.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+  n::BIGINT AS n, score::BIGINT AS score
+FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000
+"""
