@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (bpe, collocations, fingerprint, host_rules, html_extract, jaccard, lm_score, packing,
-                        quality_crf, secrets, toxicity, whitening)
+                        quality_crf, retrieval_packing, secrets, toxicity, whitening)
 from quarry.llm.common import table
 
 
@@ -37,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_crf": _on_labelled(quality_crf.op8_quality_crf),
         "op9_fingerprint": _on_documents(fingerprint.op9_fingerprint),
         "op10_host_rules": _on_documents(host_rules.op10_host_rules),
+        "op11_retrieval_packing": _on_documents(retrieval_packing.op11_retrieval_packing),
         "op12_collocations": _on_documents(collocations.op12_collocations),
         "op13_whitening": lambda spark, sf_dir: whitening.op13_whitening(
             table(spark, sf_dir, "embeddings")),
