@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 from quarry.llm import collocations as C
 from quarry.llm.catalog import oracle_sql
 
@@ -79,24 +81,47 @@ def test_long_texts_are_read_in_chunks(spark, monkeypatch):
     want = [w.encode() for _, t in whole for p in pieces(t) for w in [*p, "."]]
     squeeze = lambda ws: [w for w, v in zip(ws, [b".", *ws], strict=False) if (w, v) != (b".", b".")]
     assert squeeze(words) == squeeze(want)
-    # one worker process has the changed chunk size: run the mapper here
-    counts = Counter()
-    waiting = []
-    for some in got:
-        waiting += some
-        if len(waiting) > 10:
-            for p, _, ns, cs in zip(*(x.to_pylist() for x in C.stripes(waiting, 4)), strict=True):
-                counts.update({(p, n): c for n, c in zip(ns, cs, strict=True)})
-            waiting = waiting[-2:]
-    for p, _, ns, cs in zip(*(x.to_pylist() for x in C.stripes([*waiting, b".", b"."], 4)), strict=True):
-        counts.update({(p, n): c for n, c in zip(ns, cs, strict=True)})
-    want = Counter()
-    for _, t in whole:
+
+
+def test_lots_of_words_overlap(monkeypatch):
+    """Stripes of lots of words, merged, are those of the whole (the mapper's
+    steps, run here: a worker process would not see the small lots)."""
+    monkeypatch.setattr(C, "CHUNK", 64)
+    monkeypatch.setattr(C, "FLUSH", 10)
+    docs = some_docs(5, 60)
+    whole = [(lang or "und", t) for lang, t in docs] + [("en", "y" * 300 + " The a"), ("en", "The a " * 50)]
+    langs, texts = pa.array([lang for lang, _ in whole]), pa.array([t.encode() for _, t in whole])
+    one, two, lots = Counter(), Counter(), 0
+    for lang, numbers, words in C.word_streams(langs, texts, 1):
+        lots += 1
+        prefix, *rest = C.stripes(*C.one_word_entries(numbers, len(words)), words, 4)
+        for p, ns, cs in zip(prefix, rest[1].to_pylist(), rest[2].to_pylist(), strict=True):
+            one.update({(lang, words[p], n): c for n, c in zip(ns, cs, strict=True)})
+    for lang, numbers, words in C.word_streams(langs, texts, 2):
+        for a, b, c in zip(numbers, numbers[1:], numbers[2:], strict=False):
+            if a and b and c:
+                two[lang, words[a], words[b], words[c]] += 1
+    assert lots > 30
+    want, triples = Counter(), Counter()
+    for lang, t in whole:
         for p in pieces(t):
             p = [w.encode() for w in p]
-            for i, w in enumerate(p):
-                want[b" ".join(p[i:i + 2]), p[i + 2] if i + 2 < len(p) else b""] += 1
-    assert counts == want
+            want.update((lang, w, n) for w, n in zip(p, [*p[1:], b""], strict=False))
+            triples.update((lang, *p[i:i + 3]) for i in range(len(p) - 2))
+    assert one == want and two == triples
+
+
+def test_pair_filter_has_every_pair(spark):
+    pairs = [(g, f"w{i}", f"é{i % 17}") for g in ("en", "fr") for i in range(3000)]
+    filt = C.pair_filter(spark.createDataFrame(pairs, "lang string, prefix string, next string").repartition(3))
+    def has(lang, a, b):
+        left, _ = C.word_hashes(lang, [x.encode() for x in a])
+        _, right = C.word_hashes(lang, [x.encode() for x in b])
+        on = [(filt[p >> 5] >> (p & 31).astype("uint32")) & 1 for p in C.places(left + right, len(filt) * 32)]
+        return on[0] & on[1]
+    for g in ("en", "fr"):
+        assert has(g, [a for _, a, _ in pairs[:3000]], [b for *_, b in pairs[:3000]]).all()
+    assert has("en", [b for *_, b in pairs], [a for _, a, _ in pairs]).mean() < 0.1  # the other way round
 
 
 def test_odd_rows_and_empty_table(spark):
@@ -116,7 +141,7 @@ def test_stripes_are_merged_without_another_exchange(spark):
     import contextlib
     import io
     docs = table(spark, some_docs(1, 20))
-    parts = C.gathered(docs, 8).repartition("lang", "prefix", "part")
+    parts = C.one_word_stripes(docs, 8).repartition("lang", "prefix", "part")
     plan = io.StringIO()
     with contextlib.redirect_stdout(plan):
         (parts.selectExpr("lang", "prefix", "part", "inline(arrays_zip(nexts, counts))")
