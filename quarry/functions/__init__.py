@@ -1,4 +1,3 @@
 """Column-expression builders that run inside the JVM: ``html`` (anchors,
 titles, text, popularity, images), ``urls`` (resolution, host, port),
-``text`` (analyzers), ``porter`` (the one Arrow-batched helper), and
-``constants`` (fixed values)."""
+``text`` (analyzers), ``porter`` (stems), and ``constants`` (fixed values)."""

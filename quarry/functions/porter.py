@@ -1,153 +1,125 @@
-"""Porter stemmer (M. F. Porter, "An algorithm for suffix stripping", 1980),
-and the Arrow-batched Spark wrapper used by the content analyzer.
-
-Only the distinct terms of each Arrow batch are stemmed, and a per-worker
-cache keeps common terms from being stemmed twice.
+"""Porter stemmer (M. F. Porter, "An algorithm for suffix stripping", 1980) as
+SQL expressions.
+
+The algorithm's conditions on a stem are regular: with ``c`` a consonant, ``v``
+a vowel, ``C`` and ``V`` runs of them, a word is ``[C](VC)^m[V]``, so that
+"m > 0" or "ends in a consonant" are patterns. ``y`` is a vowel after a
+consonant, which the patterns say by where a run ends; a ``y`` at the beginning
+is a consonant and stands as ``Y`` meanwhile. Every step is one expression of
+the step before; ``with_stems`` applies them to the distinct terms of a table,
+and ``stem_sql`` writes the same steps as nested queries for an engine with a
+``regexp_matches`` function.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_VOWELS = frozenset("aeiou")
-
-
-def _is_cons(w: str, i: int) -> bool:
-    c = w[i]
-    if c in _VOWELS:
-        return False
-    if c == "y":
-        return i == 0 or not _is_cons(w, i - 1)
-    return True
-
-
-def _measure(stem: str) -> int:
-    """m in [C](VC)^m[V]."""
-    m, prev_vowel = 0, False
-    for i in range(len(stem)):
-        cons = _is_cons(stem, i)
-        if cons and prev_vowel:
-            m += 1
-        prev_vowel = not cons
-    return m
-
-
-def _has_vowel(stem: str) -> bool:
-    return any(not _is_cons(stem, i) for i in range(len(stem)))
-
-
-def _double_cons(w: str) -> bool:
-    return len(w) >= 2 and w[-1] == w[-2] and _is_cons(w, len(w) - 1)
-
-
-def _cvc(w: str) -> bool:
-    if len(w) < 3:
-        return False
-    return (_is_cons(w, len(w) - 3) and not _is_cons(w, len(w) - 2)
-            and _is_cons(w, len(w) - 1) and w[-1] not in "wxy")
 
+from quarry.session import ensure_checkpoint_dir
 
 # --- fixed values: suffix rules of the published algorithm --------------------
-_STEP2 = (("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
+STEP2 = (("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
           ("izer", "ize"), ("abli", "able"), ("alli", "al"), ("entli", "ent"),
           ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
           ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"),
           ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"))
-_STEP3 = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"),
+STEP3 = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"),
           ("ical", "ic"), ("ful", ""), ("ness", ""))
-_STEP4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment",
+STEP4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment",
           "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize")
 
 
-def _longest(w: str, suffixes):
-    best = None
-    for s in suffixes:
-        key = s[0] if isinstance(s, tuple) else s
-        if w.endswith(key) and (best is None or len(key) > len(best[0] if isinstance(best, tuple) else best)):
-            best = s
-    return best
-
-
-def stem(word: str) -> str:
-    w = word
-    if len(w) <= 2:
-        return w
-    # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies"):
-        w = w[:-2]
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        w = w[:-1]
-    # step 1b
-    again = False
-    if w.endswith("eed"):
-        if _measure(w[:-3]) > 0:
-            w = w[:-1]
-    elif w.endswith("ed") and _has_vowel(w[:-2]):
-        w, again = w[:-2], True
-    elif w.endswith("ing") and _has_vowel(w[:-3]):
-        w, again = w[:-3], True
-    if again:
-        if w.endswith(("at", "bl", "iz")):
-            w += "e"
-        elif _double_cons(w) and w[-1] not in "lsz":
-            w = w[:-1]
-        elif _measure(w) == 1 and _cvc(w):
-            w += "e"
-    # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
-        w = w[:-1] + "i"
-    # step 2
-    r = _longest(w, _STEP2)
-    if r and _measure(w[:-len(r[0])]) > 0:
-        w = w[:-len(r[0])] + r[1]
-    # step 3
-    r = _longest(w, _STEP3)
-    if r and _measure(w[:-len(r[0])]) > 0:
-        w = w[:-len(r[0])] + r[1]
-    # step 4
-    r = _longest(w, _STEP4)
-    if r:
-        s = w[:-len(r)]
-        if _measure(s) > 1 and (r != "ion" or (s and s[-1] in "st")):
-            w = s
-    # step 5a
-    if w.endswith("e"):
-        s = w[:-1]
-        m = _measure(s)
-        if m > 1 or (m == 1 and not _cvc(s)):
-            w = s
-    # step 5b
-    if _measure(w) > 1 and _double_cons(w) and w.endswith("l"):
-        w = w[:-1]
-    return w
-
-
-_CACHE: dict[str, str] = {}
-_CACHE_MAX = 200_000
-
-
-def cached_stem(word: str) -> str:
-    s = _CACHE.get(word)
-    if s is None:
-        s = stem(word)
-        if len(_CACHE) < _CACHE_MAX:
-            _CACHE[word] = s
-    return s
-
-
-@F.pandas_udf(T.StringType())
-def _stem_udf(terms: pd.Series) -> pd.Series:
-    vals = terms.astype(object).tolist()
-    return pd.Series([cached_stem(t) if isinstance(t, str) else None for t in vals], dtype=object)
-
-
-def stem_col(term: Column) -> Column:
-    """Porter stem of a term column (Arrow-batched)."""
-    return _stem_udf(term)
+
+# runs of consonants and vowels
+_C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+SOME = f"^({_C})?{_V}{_C}"                       # m > 0
+MORE = f"^({_C})?{_V}{_C}{_V}{_C}"               # m > 1
+ONE = f"^({_C})?{_V}{_C}({_V})?$"                # m = 1
+VOWEL = f"^({_C})?[aeiouy]"                      # there is a vowel
+CONSONANT = f"^({_C})?({_V}{_C})*$"              # the last letter is a consonant
+SHORT = f"^{_C}[aeiouy][^aeiouwxy]$"             # m = 1, ends consonant, vowel, consonant
+
+
+def _ends(*suffixes: str, of: str = "w") -> str:
+    return "(" + " OR ".join(f"right({of}, {len(x)}) = '{x}'" for x in suffixes) + ")"
+
+
+def _cut(n: int, add: str = "") -> str:
+    stem = f"left(w, length(w) - {n})"
+    return f"{stem} || '{add}'" if add else stem
+
+
+def _cases(rules, then) -> str:
+    """The longest suffix decides, whether or not its condition holds."""
+    branches = [f"WHEN {_ends(x)} THEN {then(x)}" for x in sorted(rules, key=len, reverse=True)]
+    return f"CASE {' '.join(branches)} ELSE w END"
+
+
+def steps(like) -> list[dict[str, str]]:
+    """The columns of every step by those of the one before, from ``w``;
+    ``like(value, pattern)`` writes a match. The last step's ``w`` is the stem."""
+    def doubled(of="w"):
+        return (f"(length({of}) > 1 AND right({of}, 1) = left(right({of}, 2), 1) "
+                f"AND {like(of, CONSONANT)})")
+
+    def swap(rules):
+        to = dict(rules)
+        return _cases(to, lambda x: f"CASE WHEN {like(_cut(len(x)), SOME)} "
+                                    f"THEN {_cut(len(x), to[x])} ELSE w END")
+
+    gone = " OR ".join(f"({_ends(x)} AND {like(_cut(len(x)), VOWEL)})" for x in ("ed", "ing"))
+    last = f"right({_cut(3)}, 1) IN ('s', 't')"
+    return [
+        {"w": "CASE WHEN left(w, 1) = 'y' THEN 'Y' || substr(w, 2) ELSE w END"},
+        {"w": f"CASE WHEN {_ends('sses', 'ies')} THEN {_cut(2)} WHEN {_ends('ss')} THEN w "
+              f"WHEN {_ends('s')} THEN {_cut(1)} ELSE w END"},
+        {"w": f"CASE WHEN {_ends('eed')} THEN CASE WHEN {like(_cut(3), SOME)} THEN {_cut(1)} ELSE w END "
+              f"WHEN {_ends('ed')} AND {like(_cut(2), VOWEL)} THEN {_cut(2)} "
+              f"WHEN {_ends('ing')} AND {like(_cut(3), VOWEL)} THEN {_cut(3)} ELSE w END",
+         "again": f"NOT {_ends('eed')} AND ({gone})"},
+        {"w": f"CASE WHEN NOT again THEN w WHEN {_ends('at', 'bl', 'iz')} THEN w || 'e' "
+              f"WHEN {doubled()} AND NOT {_ends('l', 's', 'z')} THEN {_cut(1)} "
+              f"WHEN {like('w', SHORT)} THEN w || 'e' ELSE w END"},
+        {"w": f"CASE WHEN {_ends('y')} AND {like(_cut(1), VOWEL)} THEN {_cut(1, 'i')} ELSE w END"},
+        {"w": swap(STEP2)},
+        {"w": swap(STEP3)},
+        {"w": _cases(STEP4, lambda x: f"CASE WHEN {like(_cut(len(x)), MORE)}"
+                                      f"{' AND ' + last if x == 'ion' else ''} THEN {_cut(len(x))} ELSE w END")},
+        {"w": f"CASE WHEN {_ends('e')} AND ({like(_cut(1), MORE)} OR ({like(_cut(1), ONE)} "
+              f"AND NOT {like(_cut(1), SHORT)})) THEN {_cut(1)} ELSE w END"},
+        {"w": f"CASE WHEN {like('w', MORE)} AND {doubled()} AND {_ends('l')} THEN {_cut(1)} ELSE w END"},
+        {"w": "CASE WHEN left(w, 1) = 'Y' THEN 'y' || substr(w, 2) ELSE w END"},
+    ]
+
+
+def _spark_like(value: str, pattern: str) -> str:
+    return f"({value} RLIKE '{pattern}')"
+
+
+def stem_table(terms: DataFrame) -> DataFrame:
+    """(term, stem) of every distinct term; terms of one or two letters stay.
+    Checkpointed: a filter on the stem must not be pushed down through the
+    steps, whose expressions would be written into each other."""
+    ensure_checkpoint_dir(terms.sparkSession)
+    df = terms.select("term").distinct().withColumn("w", F.col("term"))
+    for step in steps(_spark_like):
+        df = df.selectExpr("term", *[f"{e} AS {name}" for name, e in step.items()])
+    stems = df.selectExpr("term", "CASE WHEN length(term) <= 2 THEN term ELSE w END AS stem")
+    return stems.checkpoint(eager=True)
+
+
+def with_stems(df: DataFrame) -> DataFrame:
+    """``df`` with its ``term`` stemmed: distinct terms are stemmed once and
+    joined back."""
+    return (df.join(stem_table(df), "term")
+            .withColumn("term", F.col("stem")).select(*df.columns))
+
+
+def stem_sql(query: str) -> str:
+    """SQL text: the rows of ``query`` with column ``term`` and its ``stem``."""
+    inner = f"SELECT DISTINCT term, term AS w FROM ({query})"
+    for step in steps(lambda value, pattern: f"regexp_matches({value}, '{pattern}')"):
+        inner = f"SELECT term, {', '.join(f'{e} AS {name}' for name, e in step.items())} FROM ({inner})"
+    stems = f"SELECT term, CASE WHEN length(term) <= 2 THEN term ELSE w END AS stem FROM ({inner})"
+    return f"SELECT q.*, s.stem FROM ({query}) q JOIN ({stems}) s ON q.term = s.term"

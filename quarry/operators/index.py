@@ -3,7 +3,7 @@
 ``build_index(pages)`` computes the postings once (a checkpoint job) and
 returns DataFrames on them:
 
-* ``docs(url, title)``                   — stored fields
+* ``docs(url, title, image_url, page_id)`` — stored fields, a row per URL
 * ``postings(field, term, url, tf, len)`` — one row per (field, term, doc);
   the document's field length rides along so scoring needs no extra join
 * ``doc_freq(field, term, df)``
@@ -11,8 +11,7 @@ returns DataFrames on them:
 
 Tokenising is a generator (``explode``) per page inside one stage; the
 only shuffle is the (field, term, url) aggregation, which combines map-side.
-For a persistent index, ``write_index`` stores postings bucketed and sorted
-by term so later query joins read only their buckets without a shuffle.
+``quarry.operators.stored_index`` keeps an index in a folder, in segments.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import html as H
 from quarry.functions import text as TX
-from quarry.functions.porter import stem_col
+from quarry.functions.porter import with_stems
 from quarry.session import ensure_checkpoint_dir
 
 
@@ -37,36 +36,39 @@ class Index:
 
 
 def page_fields(pages: DataFrame) -> DataFrame:
-    """(url, title, content) of every page: T8 title and P1 visible text."""
+    """(url, title, content, image_url, page_id) of every page: T8 title, P1
+    visible text, T12 image; with ``_copies`` where ``pages`` has it, a null
+    ``page_id`` where it has none."""
+    extra = [F.col("page_id") if "page_id" in pages.columns else F.lit(None).cast("long").alias("page_id")]
+    extra += ["_copies"] if "_copies" in pages.columns else []
     return pages.select(
         "url",
         F.coalesce(H.index_title(F.col("html")), F.lit("")).alias("title"),
         H.visible_text(F.col("html")).alias("content"),
+        H.og_image(F.col("html")).alias("image_url"), *extra,
     )
 
 
-def field_terms(fields: DataFrame, stem: bool = True,
+def field_terms(fields: DataFrame,
                 which: tuple[str, ...] = ("title", "content")) -> DataFrame:
-    """(field, url, term, len) — one row per token occurrence.
+    """(field, url, term, len, _copies) — one row per token occurrence.
 
-    The title uses the simple analyzer; the content the stemming analyzer
-    (stop words, minimum length, Porter). ``stem=False`` keeps the stop
-    filter but leaves terms unstemmed (for engines without a stemmer). Only
-    the content branch reaches the (Arrow-batched) stemmer.
+    The title uses the simple analyzer; the content the analyzer with stop
+    words and a minimum length (its stems come later, by distinct term).
     """
+    if "_copies" not in fields.columns:
+        fields = fields.withColumn("_copies", F.lit(1))
     parts = []
     if "title" in which:
-        t = fields.select(F.lit("title").alias("field"), "url",
+        t = fields.select(F.lit("title").alias("field"), "url", "_copies",
                           TX.word_tokens(F.col("title")).alias("toks"))
-        parts.append(t.select("field", "url", F.size("toks").alias("len"),
+        parts.append(t.select("field", "url", "_copies", F.size("toks").alias("len"),
                               F.explode("toks").alias("term")))
     if "content" in which:
-        c = fields.select(F.lit("content").alias("field"), "url",
+        c = fields.select(F.lit("content").alias("field"), "url", "_copies",
                           TX.content_tokens(F.col("content")).alias("toks"))
-        c = c.select("field", "url", F.size("toks").alias("len"),
+        c = c.select("field", "url", "_copies", F.size("toks").alias("len"),
                      F.explode("toks").alias("term"))
-        if stem:
-            c = c.withColumn("term", stem_col(F.col("term")))
         parts.append(c)
     out = parts[0]
     for extra in parts[1:]:
@@ -75,12 +77,17 @@ def field_terms(fields: DataFrame, stem: bool = True,
 
 
 def one_per_url(pages: DataFrame) -> DataFrame:
-    """The row of the lowest ``page_id`` of every URL. Only ids move in the
-    shuffle of the aggregate; tables without ids are taken as they are."""
-    if "page_id" not in pages.columns:
-        return pages
-    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    return pages.join(first, ["url", "page_id"], "left_semi")
+    """The row of the lowest ``page_id`` of every URL (a null id comes last;
+    ties go to the smallest hash of the page). A row that is stored several
+    times stays so, with their number in ``_copies``: only ids, hashes and
+    counts move in the shuffles, never pages."""
+    has_id = "page_id" in pages.columns
+    pid = F.coalesce("page_id", F.lit(2 ** 63 - 1)) if has_id else F.lit(0)
+    rows = pages.withColumn("_pid", pid).withColumn("_h", F.xxhash64("html"))
+    first = (rows.groupBy("url", "_pid", "_h").agg(F.count(F.lit(1)).alias("_copies"))
+             .groupBy("url").agg(F.min(F.struct("_pid", "_h", "_copies")).alias("_f"))
+             .select("url", "_f.*"))
+    return rows.join(first, ["url", "_pid", "_h"]).drop("_pid", "_h")
 
 
 def build_index(pages: DataFrame, stem: bool = True,
@@ -88,45 +95,46 @@ def build_index(pages: DataFrame, stem: bool = True,
     """Index of ``pages``; ``which`` limits the fields built (a title-only
     search never tokenises page text). A URL stored twice counts once, with
     the row of the lowest ``page_id``."""
-    pages = one_per_url(pages)
-    fields = page_fields(pages)
-    occ = field_terms(fields, stem=stem, which=which)
+    fields = page_fields(one_per_url(pages))
+    occ = field_terms(fields, which=which)
     # postings are read by every later step (frequencies, statistics,
     # candidates, verification): computed once and written to the shared
     # checkpoint folder, as an index build writes its postings anyway
     ensure_checkpoint_dir(pages.sparkSession)
+    times = F.count(F.lit(1)) / F.first("_copies")
     postings = (occ.groupBy("field", "term", "url")
-                .agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
+                .agg(times.cast("long").alias("tf"), F.first("len").alias("len"))
                 .checkpoint(eager=True))
+    if stem and "content" in which:
+        postings = stemmed(postings).checkpoint(eager=True)
     doc_freq = postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     stats = _stats_from_postings(postings, pages, which)
-    docs = fields.select("url", "title")
+    docs = fields.select("url", "title", "image_url", "page_id").distinct()
     return Index(docs=docs, postings=postings, doc_freq=doc_freq, field_stats=stats)
 
 
+def stemmed(postings: DataFrame) -> DataFrame:
+    """Postings of the content field by stem: distinct terms are stemmed once
+    and joined back, postings of one stem summed."""
+    content = with_stems(postings.where(F.col("field") == "content"))
+    content = (content.groupBy("field", "term", "url")
+               .agg(F.sum("tf").alias("tf"), F.first("len").alias("len")))
+    return postings.where(F.col("field") != "content").unionByName(content)
+
+
 def _stats_from_postings(postings: DataFrame, pages: DataFrame,
                          which: tuple[str, ...]) -> DataFrame:
-    """A9/A10 from the postings: total analysed length per field (each
-    document's length is on each of its postings) and the document count
-    (every page, also those whose field is empty). One row per field."""
-    lens = (postings.select("field", "url", "len").distinct()
-            .groupBy("field").agg(F.sum("len").cast("long").alias("total_len")))
-    # documents per field: every page counts once per field (partial counts
-    # per task, one row per field after the shuffle)
-    per_field = F.explode(F.array(*[F.lit(f) for f in which])).alias("field")
-    docs = pages.select(per_field).groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"))
-    total = F.coalesce(F.col("total_len"), F.lit(0).cast("long"))
-    return (docs.join(lens, "field", "left")
-            .select("field", "n_docs", total.alias("total_len"),
-                    (total / F.col("n_docs")).alias("avg_len")))
-
-
-def write_index(index: Index, path: str, buckets: int = 64) -> None:
-    """Persist the index: postings partitioned by field (partition pruning)
-    and bucketed + sorted by term (query joins read their buckets only)."""
-    (index.postings.write.mode("overwrite").partitionBy("field")
-     .bucketBy(buckets, "term").sortBy("term")
-     .option("path", f"{path}/postings").saveAsTable("quarry_postings"))
-    index.doc_freq.write.mode("overwrite").parquet(f"{path}/doc_freq")
-    index.field_stats.write.mode("overwrite").parquet(f"{path}/field_stats")
-    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+    """A9/A10 from the postings: total analysed length per field (the sum of
+    the term frequencies) and the document count (every URL, also those whose
+    field is empty). One row per field."""
+    lens = postings.groupBy("field").agg(F.sum("tf").alias("total_len"))
+    docs = (pages.select("url").distinct().agg(F.count(F.lit(1)).alias("n_docs"))
+            .select(F.explode(F.array(*[F.lit(f) for f in which])).alias("field"), "n_docs"))
+    return with_average(docs.join(lens, "field", "left"))
+
+
+def with_average(stats: DataFrame) -> DataFrame:
+    """``field_stats`` of rows (field, n_docs, total_len or null)."""
+    total = F.coalesce(F.col("total_len"), F.lit(0)).cast("long")
+    return stats.select("field", "n_docs", total.alias("total_len"),
+                        (total / F.col("n_docs")).alias("avg_len"))

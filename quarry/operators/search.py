@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as TX
-from quarry.functions.constants import BM25_B, BM25_K1, PAGE_LEN, SCORE_WEIGHTS
-from quarry.functions.porter import stem_col
+from quarry.functions.constants import BM25_B, BM25_K1, PAGE_LEN, SCORE_WEIGHTS, SUGGEST_SIZE
+from quarry.functions.porter import with_stems
 from quarry.operators.index import Index
 
 
@@ -46,8 +46,8 @@ def analyze_groups(groups: DataFrame, stem: bool = True,
     content = (groups.where(F.col("field") == "content")
                .select("query_id", "group_id", "field",
                        F.explode(TX.content_tokens(F.col("text"))).alias("term")))
-    if stem:  # only content terms reach the stemmer
-        content = content.withColumn("term", stem_col(F.col("term")))
+    if stem:  # content terms only
+        content = with_stems(content)
     rows = title.unionByName(content).distinct()
     if not dedup_groups:
         return rows
@@ -62,7 +62,7 @@ def analyze_groups(groups: DataFrame, stem: bool = True,
 
 def title_queries(queries: DataFrame) -> DataFrame:
     """Plain query strings ``(query_id, query)`` → one title group each
-    (the parser's default field, terms AND-ed)."""
+    (the parser's default field, terms AND-ed). A null query has no terms."""
     return queries.select("query_id", F.lit(0).alias("group_id"),
                           F.lit("title").alias("field"),
                           F.col("query").alias("text"))
@@ -158,6 +158,34 @@ def search_terms(qterms: DataFrame, index: Index, mode: str = "bm25",
     return rank_hits(hits).select("query_id", "url", "score", "rank")
 
 
+def submit(queries: DataFrame, index: Index, entries: DataFrame | None = None,
+           mode: str = "both", ranks: DataFrame | None = None, upgrade: bool = False,
+           related: DataFrame | None = None, stem: bool = True) -> DataFrame:
+    """X7 with its options: ``queries(query_id, query)`` → ``(query_id, url,
+    rank)``, all results.
+
+    ``upgrade`` (X9) searches the whole-string suggestions of ``entries(key,
+    title, weight)`` in the title or the query in the content, and moves what
+    the plain query finds to the front. ``related`` (X10), a table of word
+    vectors ``(word, vector)``, replaces the results by those of the related
+    queries of the first hits. ``ranks(url, pr)`` is needed but in mode
+    "bm25"; ``stem`` says whether the index holds stems."""
+    plain = analyze_groups(title_queries(queries), stem=False, dedup_groups=False)
+    if upgrade:
+        from quarry.operators.suggest import suggestion_groups
+        content = queries.select("query_id", F.lit(SUGGEST_SIZE).alias("group_id"),
+                                 F.lit("content").alias("field"), F.col("query").alias("text"))
+        groups = suggestion_groups(queries, entries).unionByName(content)
+        hits = score(match_groups(analyze_groups(groups, stem), index), mode, ranks)
+        ranked = upgraded_search(hits, match_groups(plain, index).select("query_id", "url"))
+    else:
+        ranked = rank_hits(score(match_groups(plain, index), mode, ranks))
+    if related is not None:
+        from quarry.operators.related import related_results
+        ranked = related_results(ranked, index, related, mode, ranks)
+    return ranked.select("query_id", "url", "rank")
+
+
 def top_n(ranked: DataFrame, n: int) -> DataFrame:
     """The first ``n`` hits per query (repeatable stand-in for the
     time-limited collector)."""
@@ -188,8 +216,9 @@ def page_slice(ranked: DataFrame, requests: DataFrame,
                page_len: int = PAGE_LEN) -> DataFrame:
     """Requested pages ``(query_id, page)``; the page number is clamped to
     at least 1 and at most the last page. Returns
-    ``(query_id, page_no, total, url, rank)``; a query without hits gives a
-    single row with total 0 and no url."""
+    ``(query_id, page_no, total, url, rank)``, with further columns of the
+    requests; a query without hits gives a single row with total 0 and no
+    url."""
     totals = ranked.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
     req = (requests.join(totals, "query_id", "left")
            .withColumn("total", F.coalesce(F.col("total"), F.lit(0)).cast("long"))
@@ -198,7 +227,7 @@ def page_slice(ranked: DataFrame, requests: DataFrame,
                                           F.col("last")).cast("int")))
     hits = ranked.withColumn("page_no", F.ceil(F.col("rank") / page_len).cast("int"))
     return (req.join(hits, ["query_id", "page_no"], "left")
-            .select("query_id", "page_no", "total", "url", "rank"))
+            .select(*[c for c in requests.columns if c != "page"], "page_no", "total", "url", "rank"))
 
 
 # ---------------------------------------------------------------------------

@@ -29,15 +29,15 @@ def oracle_sql():
 
 def flagship(spark, sf_dir):
     """Combined BM25 + PageRank search of every page title; the first page of
-    results of each query with title and URL."""
-    from pyspark.sql import functions as F
-
-    from quarry.operators import index as IX
+    results of each query with title and URL, on the stored index."""
+    from quarry.functions.constants import PAGE_LEN
     from quarry.operators import search as SE
-    from quarry.plans.searching import search_both
-    from quarry.sources import tables as S
-
-    hits = SE.top_n(search_both(spark, sf_dir), 10)
-    docs = IX.page_fields(S.pages(spark, sf_dir)).select("url", "title")
-    return (hits.join(docs, "url", "left")
-            .select("query_id", "rank", "title", "url", F.col("score").alias("score")))
+    from quarry.plans.graph import page_ranks
+    from quarry.plans.searching import stored_index, title_query_table
+
+    ix = stored_index(spark, sf_dir)
+    qterms = SE.analyze_groups(SE.title_queries(title_query_table(spark, sf_dir)),
+                               stem=False, dedup_groups=False)
+    scored = SE.score(SE.match_groups(qterms, ix), "both", page_ranks(spark, sf_dir))
+    return (SE.top_hits(scored, PAGE_LEN).join(ix.docs.select("url", "title"), "url", "left")
+            .select("query_id", "rank", "title", "url", "score"))

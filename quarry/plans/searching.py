@@ -2,31 +2,58 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import html as H
 from quarry.functions.constants import (BM25_B, BM25_K1, FAILED_STATUS, PAGE_LEN,
                                        REDIRECT_PREFIX, SCORE_WEIGHTS, SUGGEST_SIZE)
+from quarry.functions.porter import stem_sql
 from quarry.operators import index as IX
 from quarry.operators import search as SE
+from quarry.operators import stored_index as SI
 from quarry.plans import sqlfrag as Q
 from quarry.plans.registry import register
+from quarry.session import path_exists, remove_path, scratch_path
 from quarry.sources import tables as S
 
 
+def kept_path(spark: SparkSession, table: DataFrame, name: str) -> str:
+    """A folder of this application for what is derived from a table in its
+    present state: path, size and time of its files name it."""
+    facts = table.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    state = facts.distinct().agg(F.bit_xor(F.xxhash64(*facts.columns))).first()[0]
+    return scratch_path(spark, f"{name}-{spark.sparkContext.applicationId}-{(state or 0) & (2 ** 64 - 1):016x}")
+
+
+_OPEN: dict[str, IX.Index] = {}  # by folder; nobody writes to these after the build
+
+
+def stored_index(spark: SparkSession, sf: str, stem: bool = False) -> IX.Index:
+    """The stored index of the pages, built by the first query that asks and
+    reopened by the others."""
+    pages = S.pages(spark, sf)
+    path = kept_path(spark, pages, "stems" if stem else "index")
+    if path not in _OPEN:
+        if not path_exists(spark, f"{path}/commits"):
+            remove_path(spark, path)
+            SI.create_index(path, pages, stem=stem)
+        _OPEN[path] = SI.open_index(spark, path)
+    return _OPEN[path]
+
+
 def title_index(spark: SparkSession, sf: str) -> IX.Index:
-    return IX.build_index(S.pages(spark, sf), which=("title",))
+    return stored_index(spark, sf)
 
 
 def title_query_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The query workload: every page's index title is a query
-    (``query_id`` = page_id), so each query has at least one hit and the
+    """The query workload: the stored title of every page of the index is a
+    query (``query_id`` = page_id), so each query has at least one hit and the
     workload grows with the corpus."""
-    return (S.pages(spark, sf)
-            .select(F.col("page_id").alias("query_id"),
-                    H.index_title(F.col("html")).alias("query"))
-            .where(F.col("query").isNotNull()))
+    return stored_index(spark, sf).docs.select(F.col("page_id").alias("query_id"),
+                                               F.col("title").alias("query"))
 
 
 # -------------------------------------------------------------- oracle SQL --
@@ -37,8 +64,8 @@ def _resolved_sql() -> str:
 
 
 # A URL stored twice is indexed once, with the row of its lowest page_id.
-ONE_PER_URL_SQL = ("SELECT * FROM pages WHERE (url, page_id) IN "
-                   "(SELECT (url, min(page_id)) FROM pages GROUP BY url)")
+ONE_PER_URL_SQL = ("SELECT * FROM pages QUALIFY "
+                   "row_number() OVER (PARTITION BY url ORDER BY page_id NULLS LAST, html) = 1")
 
 TITLE_FIELDS_SQL = f"""
 SELECT page_id, url, coalesce({Q.index_title('html')}, '') AS title FROM ({ONE_PER_URL_SQL})"""
@@ -96,7 +123,7 @@ FROM ({hits_sql})"""
 
 @register("title_postings", sql=f"SELECT term, url, tf FROM ({TITLE_POSTINGS_SQL})")
 def title_postings(spark: SparkSession, sf: str) -> DataFrame:
-    return title_index(spark, sf).postings.select("term", "url", "tf")
+    return IX.build_index(S.pages(spark, sf), which=("title",)).postings.select("term", "url", "tf")
 
 
 @register("content_postings", sql=f"SELECT term, url, tf FROM ({CONTENT_POSTINGS_SQL})")
@@ -106,9 +133,14 @@ def content_postings(spark: SparkSession, sf: str) -> DataFrame:
     return ix.postings.select("term", "url", "tf")
 
 
-@register("stemmed_postings")
+STEMMED_POSTINGS_SQL = f"""
+SELECT stem AS term, url, CAST(sum(tf) AS BIGINT) AS tf, any_value(len) AS len
+FROM ({stem_sql(CONTENT_POSTINGS_SQL)}) GROUP BY stem, url"""
+
+
+@register("stemmed_postings", sql=f"SELECT term, url, tf FROM ({STEMMED_POSTINGS_SQL})")
 def stemmed_postings(spark: SparkSession, sf: str) -> DataFrame:
-    """Content field as indexed: stop filter + Porter stemming (rows-only)."""
+    """Content field as indexed: stop filter + Porter stemming."""
     ix = IX.build_index(S.pages(spark, sf), stem=True, which=("content",))
     return ix.postings.select("term", "url", "tf")
 
@@ -120,9 +152,9 @@ FROM ({TITLE_FIELDS_SQL})
 UNION ALL
 SELECT 'content', CAST(count(*) AS BIGINT),
        round(sum(len({Q.content_tokens(Q.visible_text('html'))})) / count(*), 6)
-FROM pages""")
+FROM ({ONE_PER_URL_SQL})""")
 def field_stats(spark: SparkSession, sf: str) -> DataFrame:
-    ix = IX.build_index(S.pages(spark, sf))
+    ix = IX.build_index(S.pages(spark, sf), stem=False)
     return ix.field_stats.select("field", "n_docs", F.round("avg_len", 6).alias("avg_len"))
 
 
@@ -206,7 +238,7 @@ def expanded_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def both_fields_index(spark: SparkSession, sf: str) -> IX.Index:
-    return IX.build_index(S.pages(spark, sf), stem=False)
+    return stored_index(spark, sf)
 
 
 def page_entries_sql() -> str:
@@ -220,25 +252,30 @@ SELECT title AS key, title, arg_max(weight, page_id) AS weight FROM (
 WHERE title IS NOT NULL GROUP BY title"""
 
 
-def expanded_sql() -> str:
+def expanded_sql(stems: bool = False) -> str:
     """Oracle rows (query_id, group_id, field, term) of the expanded queries."""
     from quarry.plans.dictionary import brute_suggest_sql
-    frag = f"SELECT page_id AS fragment_id, {Q.index_title('html')} AS fragment FROM pages"
+    frag = f"SELECT page_id AS fragment_id, {Q.index_title('html')} AS fragment FROM ({ONE_PER_URL_SQL})"
     sugg = brute_suggest_sql(frag, entries_sql=page_entries_sql())
+    terms = """
+  SELECT query_id, group_id, field,
+         unnest(CASE WHEN field = 'title' THEN {title} ELSE {content} END) AS term FROM g""".format(
+        title=Q.word_tokens("text"), content=Q.content_tokens("text"))
+    if stems:
+        terms = f"""
+  SELECT query_id, group_id, field, CASE WHEN field = 'title' THEN term ELSE stem END AS term
+  FROM ({stem_sql(terms)})"""
     return f"""
 WITH g AS (
   SELECT fragment_id AS query_id, rank - 1 AS group_id, 'title' AS field, title AS text
   FROM ({sugg})
   UNION ALL
-  SELECT page_id, 0, 'title', {Q.index_title('html')} FROM pages
+  SELECT page_id, 0, 'title', {Q.index_title('html')} FROM ({ONE_PER_URL_SQL})
   WHERE {Q.index_title('html')} IS NOT NULL AND page_id NOT IN (SELECT fragment_id FROM ({sugg}))
   UNION ALL
-  SELECT page_id, {SUGGEST_SIZE}, 'content', {Q.index_title('html')} FROM pages
+  SELECT page_id, {SUGGEST_SIZE}, 'content', {Q.index_title('html')} FROM ({ONE_PER_URL_SQL})
   WHERE {Q.index_title('html')} IS NOT NULL),
-r AS (SELECT DISTINCT query_id, group_id, field, term FROM (
-  SELECT query_id, group_id, field,
-         unnest(CASE WHEN field = 'title' THEN {Q.word_tokens('text')}
-                     ELSE {Q.content_tokens('text')} END) AS term FROM g)),
+r AS (SELECT DISTINCT query_id, group_id, field, term FROM ({terms})),
 sig AS (SELECT query_id, group_id, field, list_sort(list(term)) AS sig FROM r
         GROUP BY query_id, group_id, field),
 keep AS (SELECT query_id, min(group_id) AS group_id FROM sig GROUP BY query_id, field, sig)
@@ -246,25 +283,29 @@ SELECT r.query_id, CAST(r.group_id AS INTEGER) AS group_id, r.field, r.term
 FROM r JOIN keep ON keep.query_id = r.query_id AND keep.group_id = r.group_id"""
 
 
-def expanded_hits_sql() -> str:
-    """Per (query, url) BM25 scores of the expanded queries (both fields)."""
+def expanded_hits_sql(mode: str = "bm25", stems: bool = False, ranks_sql: str | None = None) -> str:
+    """Per (query, url) scores of the expanded queries (both fields)."""
+    a, b = SCORE_WEIGHTS[mode]
+    pr_join = f"JOIN ({ranks_sql}) r ON r.url = m.url" if a else ""
+    pr_term = f"{a} * r.pr * qn.n_terms + " if a else ""
     post = f"""
 SELECT 'title' AS field, term, url, tf, len FROM ({TITLE_POSTINGS_SQL})
-UNION ALL SELECT 'content', term, url, tf, len FROM ({CONTENT_POSTINGS_SQL})"""
+UNION ALL SELECT 'content', term, url, tf, len FROM ({STEMMED_POSTINGS_SQL if stems else CONTENT_POSTINGS_SQL})"""
     return f"""
 WITH post AS ({post}),
 dfq AS (SELECT field, term, count(*) AS df FROM post GROUP BY field, term),
-st AS (SELECT field, (SELECT count(*) FROM pages) AS n, sum(len) / (SELECT count(*) FROM pages) AS avg_len
+st AS (SELECT field, (SELECT count(DISTINCT url) FROM pages) AS n,
+         sum(len) / (SELECT count(DISTINCT url) FROM pages) AS avg_len
        FROM (SELECT DISTINCT field, url, len FROM post) GROUP BY field),
-q AS ({expanded_sql()}),
+q AS ({expanded_sql(stems)}),
 qn AS (SELECT query_id, group_id, field, count(*) AS n_terms FROM q GROUP BY ALL),
 m AS (SELECT q.query_id, q.group_id, p.url, count(*) AS n_hit,
              sum({bm25_sql('ln(st.n / (dfq.df + 1)) + 1', 'p.tf', 'p.len', 'st.avg_len')}) AS s
       FROM q JOIN post p ON p.field = q.field AND p.term = q.term
       JOIN dfq ON dfq.field = q.field AND dfq.term = q.term JOIN st ON st.field = q.field
       GROUP BY q.query_id, q.group_id, p.url)
-SELECT m.query_id, m.url, round(sum(1.5 * m.s), 6) AS score
-FROM m JOIN qn ON qn.query_id = m.query_id AND qn.group_id = m.group_id
+SELECT m.query_id, m.url, round(sum({pr_term}{b} * m.s), 6) AS score
+FROM m JOIN qn ON qn.query_id = m.query_id AND qn.group_id = m.group_id {pr_join}
 WHERE m.n_hit = qn.n_terms
 GROUP BY m.query_id, m.url"""
 
@@ -281,15 +322,20 @@ def search_expanded(spark: SparkSession, sf: str) -> DataFrame:
     return SE.search_terms(expanded_terms(spark, sf), both_fields_index(spark, sf), mode="bm25")
 
 
-@register("search_upgrade", sql=f"""
-WITH a AS ({ranked_sql(expanded_hits_sql())}),
-b AS ({ranked_sql(title_hits_sql("bm25"))}),
+def upgraded_sql(a: str, b: str) -> str:
+    """Ranked hits ``a`` with those of ``b`` moved first."""
+    return f"""
+WITH a AS ({ranked_sql(a)}),
+b AS ({b}),
 m AS (SELECT a.query_id, a.url, a.rank, b.url IS NOT NULL AS exact
       FROM a LEFT JOIN (SELECT DISTINCT query_id, url FROM b) b
       ON a.query_id = b.query_id AND a.url = b.url)
 SELECT query_id, url, exact,
        CAST(row_number() OVER (PARTITION BY query_id ORDER BY exact DESC, rank) AS INTEGER) AS rank
-FROM m""")
+FROM m"""
+
+
+@register("search_upgrade", sql=upgraded_sql(expanded_hits_sql(), title_hits_sql("bm25")))
 def search_upgrade(spark: SparkSession, sf: str) -> DataFrame:
     """Expanded results with the plain title hits moved first."""
     ix = both_fields_index(spark, sf)
@@ -300,12 +346,63 @@ def search_upgrade(spark: SparkSession, sf: str) -> DataFrame:
     return SE.upgraded_search(a, b)
 
 
+@register("search_submit", sql=f"""
+SELECT query_id, url, rank FROM ({upgraded_sql(expanded_hits_sql("both", True, _ranks_sql()),
+                                               title_hits_sql("bm25"))})""")
+def search_submit(spark: SparkSession, sf: str) -> DataFrame:
+    """X7/X9 as a user calls it: upgraded, in mode "both", the content by its
+    stems."""
+    return SE.submit(title_query_table(spark, sf), stored_index(spark, sf, stem=True),
+                     page_entries(spark, sf), ranks=_ranks(spark, sf), upgrade=True)
+
+
+@register("requested_pages", sql=f"""
+WITH h AS ({ranked_sql(title_hits_sql("bm25"))}),
+t AS (SELECT query_id, count(*) AS total FROM h GROUP BY query_id),
+r AS (SELECT query_id, unnest([-1, 1, 2, 1000000]) AS asked FROM (
+        SELECT DISTINCT page_id AS query_id FROM ({TITLE_FIELDS_SQL}))),
+p AS (SELECT query_id, asked, coalesce(total, 0) AS total,
+        CAST(least(greatest(asked, 1), greatest(ceil(coalesce(total, 0) / {PAGE_LEN}), 1)) AS INTEGER) AS page_no
+      FROM r LEFT JOIN t USING (query_id))
+SELECT p.query_id, p.asked, p.page_no, CAST(p.total AS BIGINT) AS total, h.url, h.rank
+FROM p LEFT JOIN h ON h.query_id = p.query_id AND CAST(ceil(h.rank / {PAGE_LEN}) AS INTEGER) = p.page_no""")
+def requested_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages asked for by number, clamped at both ends."""
+    asked = F.explode(F.array(*[F.lit(n) for n in (-1, 1, 2, 1_000_000)]))
+    requests = title_query_table(spark, sf).select("query_id", asked.alias("page"))
+    # the number asked for is part of the request's key
+    ranked = search_bm25(spark, sf)
+    pages = SE.page_slice(ranked, requests.withColumn("asked", F.col("page")))
+    return pages.select("query_id", "asked", "page_no", "total", "url", "rank")
+
+
+@register("search_segments", sql=f"""
+WITH kept AS (SELECT * FROM ({ONE_PER_URL_SQL}) WHERE page_id % 7 <> 3 OR page_id % 14 = 3),
+p AS (SELECT term, url, count(*) AS tf FROM (
+  SELECT url, unnest({Q.word_tokens(f"coalesce({Q.index_title('html')}, '')")}) AS term FROM kept)
+  GROUP BY term, url)
+SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM p GROUP BY term""")
+def search_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """An index stored in two deliveries, some pages deleted, half of those
+    delivered again, reopened: document frequency and occurrences per term."""
+    pages = S.pages(spark, sf)
+    first = IX.one_per_url(pages).drop("_copies")  # the row of a URL does not depend on deliveries
+    path = scratch_path(spark, f"segments-{uuid.uuid4().hex}")
+    SI.create_index(path, first.where(F.col("page_id") % 2 == 0), stem=False, which=("title",))
+    SI.add_pages(path, first.where(F.col("page_id") % 2 == 1))
+    SI.delete_urls(path, first.where(F.col("page_id") % 7 == 3).select("url"))
+    SI.add_pages(path, first.where(F.col("page_id") % 14 == 3))
+    ix = SI.open_index(spark, path)
+    occurrences = ix.postings.groupBy("field", "term").agg(F.sum("tf").alias("tf"))
+    return ix.doc_freq.join(occurrences, ["field", "term"]).select("term", "df", "tf")
+
+
 @register("result_view", sql=f"""
 WITH h AS ({ranked_sql(title_hits_sql("bm25"))}),
 img AS (SELECT url, image_url FROM (
   SELECT url, coalesce(nullif(regexp_extract(html, {Q.lit(H.OG_IMAGE_RE)}, 1), ''),
                        nullif(regexp_extract(html, {Q.lit(H.OG_IMAGE_REV_RE)}, 1), '')) AS image_url
-  FROM pages) WHERE image_url IS NOT NULL),
+  FROM ({ONE_PER_URL_SQL})) WHERE image_url IS NOT NULL),
 d AS ({TITLE_FIELDS_SQL})
 SELECT h.query_id, h.rank, d.title, {Q.lit(REDIRECT_PREFIX)} || h.url AS link, img.image_url
 FROM h LEFT JOIN d ON d.url = h.url LEFT JOIN img ON img.url = h.url
@@ -313,12 +410,8 @@ WHERE h.rank <= {PAGE_LEN}""")
 def result_view(spark: SparkSession, sf: str) -> DataFrame:
     """The first page of every query with title, redirect link, image."""
     from quarry.operators import view as V
-    pages = S.pages(spark, sf)
-    hits = _first_page(spark, sf)
-    docs = IX.page_fields(pages).select("url", "title")
-    images = pages.select("url", H.og_image(F.col("html")).alias("image_url")) \
-        .where(F.col("image_url").isNotNull())
-    return V.result_view(hits, docs, images)
+    docs = title_index(spark, sf).docs
+    return V.result_view(_first_page(spark, sf), docs, docs)
 
 
 def _codes_sql() -> str:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from quarry.functions import html as H
 from quarry.functions import text as TX
 from quarry.functions import urls as U
-from quarry.functions.porter import stem
+from quarry.functions.porter import stem_sql, stem_table
+from tests.plain_porter import stem
 from quarry.operators import links as L
 
 BASES = ["http://h/a/b?x#y", "http://h", "http://h/", "https://h/a/b/", "http://h/a/b/c/d;p?q"]
@@ -114,3 +115,23 @@ def test_doc_ids_collisions(spark):
     got = {r.url: r.doc_id for r in forced.collect()}
     assert got["http://a/"] == "h.html" and got["http://b/"] == "h_0.html"
     assert got["http://c/"].endswith(".html") and len(got) == 3
+
+
+def test_stems_of_columns(spark):
+    """The expressions equal the algorithm on suffixes, runs of y and odd words,
+    on Spark and as SQL text."""
+    import itertools
+    import random
+
+    import duckdb
+    rng = random.Random(7)
+    ends = ["", "s", "ed", "ing", "eed", "y", "e", "ll", "ational", "ization", "iveness", "icate", "ness",
+            "ement", "sion", "tion", "ous", "ies", "sses", "at", "bl", "iz", "able", "yy", "ion"]
+    words = {"".join(rng.choices("aeybclstwx", k=rng.randint(1, 6))) + e for _ in range(1500) for e in ends}
+    words |= {"".join(p) for n in (1, 2, 3, 4) for p in itertools.product("ayb", repeat=n)}
+    words |= {"naïve", "été", "中文", "a.b", "x1ing", "", "hopping", "relational", "yes", "sky", "syzygy"}
+    df = spark.createDataFrame([(w,) for w in sorted(words)], "term string")
+    want = {w: stem(w) for w in words}
+    assert {r.term: r.stem for r in stem_table(df).collect()} == want
+    given = df.toPandas()  # noqa: F841  (read by the SQL)
+    assert dict(duckdb.sql(stem_sql("SELECT term FROM given")).fetchall()) == want
