@@ -32,6 +32,13 @@ def seed_order(seeds: DataFrame) -> DataFrame:
     return r.select("domain", "url", "position")
 
 
+def seed_lists(cached: DataFrame, sitemaps: DataFrame) -> DataFrame:
+    """The seeds of all domains ``(domain, seq, url)``: a domain whose
+    list is cached keeps it, the others take their sitemap's."""
+    fresh = sitemaps.join(cached.select("domain").distinct(), "domain", "left_anti")
+    return cached.select("domain", "seq", "url").unionByName(fresh.select("domain", "seq", "url"))
+
+
 def _path_of(url):
     """Path and query of a URL (what robots rules match against)."""
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^#]*)", 1)
@@ -40,22 +47,36 @@ def _path_of(url):
 def robots_allowed(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``urls(url)`` → ``(url, allowed)``. The rules of the URL's
     host (or of domain ``'*'`` when the host has none) are tried in ``seq``
-    order; the first prefix that matches decides; no match allows.
+    order; the first prefix that matches decides; no match allows. The prefix
+    ``*`` matches every path, and so does an empty one, which always allows.
 
-    Join on host (equi), then a prefix filter: each URL meets only its own
-    host's rules, a number bounded by the size of one robots file."""
+    A URL's path is cut to the lengths that its host's prefixes have (one array
+    per host), and the cut paths join the rules on (host, prefix): no URL meets
+    a rule that doesn't match. The rules of ``'*'``, one robots file, become a
+    literal of the plan."""
     u = urls.select("url").distinct().withColumn("host", U.host(F.col("url")))
-    own = rules.select("domain").distinct().withColumn("has_own", F.lit(True))
-    u = (u.join(own.withColumnRenamed("domain", "host"), "host", "left")
-         .withColumn("rule_domain", F.when(F.col("has_own"), F.col("host")).otherwise(F.lit("*"))))
     p = _path_of(F.col("url"))
-    path = F.when(p == "", F.lit("/")).otherwise(p)
-    m = (u.join(rules.withColumnRenamed("domain", "rule_domain"), "rule_domain")
-         .where(F.col("prefix").isin("", "*") | path.startswith(F.col("prefix")))
-         .groupBy("url").agg(F.min_by(F.when(F.col("prefix") == "", F.lit(True))
-                                      .otherwise(F.col("allow")), "seq").alias("decided")))
-    return (u.join(m, "url", "left")
-            .select("url", F.coalesce(F.col("decided"), F.lit(True)).alias("allowed")))
+    u = u.withColumn("path", F.when(p == "", F.lit("/")).otherwise(p))
+    any_path = F.col("prefix").isin("", "*")
+    rule = rules.select("domain", "seq", F.when(any_path, "").otherwise(F.col("prefix")).alias("prefix"),
+                        F.when(F.col("prefix") == "", True).otherwise(F.col("allow")).alias("allow"))
+    own = rule.where(F.col("domain") != "*").withColumnRenamed("domain", "host")
+    lengths = own.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    # of equal prefixes the first decides
+    first = own.groupBy("host", "prefix").agg(F.min(F.struct("seq", "allow")).alias("r"))
+    u = u.join(lengths, "host", "left")
+    cut = (u.where(F.col("lengths").isNotNull())
+           .select("url", "host", "path", F.explode("lengths").alias("n"))
+           .where(F.col("n") <= F.length("path"))
+           .select("url", "host", F.expr("left(path, n)").alias("prefix")))
+    decided = (cut.join(first, ["host", "prefix"])
+               .groupBy("url").agg(F.min("r").alias("r")).select("url", F.col("r.allow").alias("decided")))
+    shared = rule.where(F.col("domain") == "*").orderBy("seq").collect()  # one robots file
+    other = F.coalesce(*[F.when(F.col("path").startswith(r.prefix), F.lit(r.allow)) for r in shared],
+                       F.lit(True))
+    return (u.join(decided, "url", "left")
+            .select("url", F.when(F.col("lengths").isNull(), other)
+                    .otherwise(F.coalesce("decided", F.lit(True))).alias("allowed")))
 
 
 def frontier(links: DataFrame, seen: DataFrame, rules: DataFrame,

@@ -138,3 +138,15 @@ def with_average(stats: DataFrame) -> DataFrame:
     total = F.coalesce(F.col("total_len"), F.lit(0)).cast("long")
     return stats.select("field", "n_docs", total.alias("total_len"),
                         (total / F.col("n_docs")).alias("avg_len"))
+
+
+def write_index(index: Index, path: str, buckets: int = 64, table: str = "quarry_postings") -> None:
+    """The tables of an index as files: postings, as ``table``, partitioned by
+    field (partition pruning) and bucketed + sorted by term, one file per
+    bucket. ``quarry.operators.stored_index`` keeps an index that grows."""
+    (index.postings.repartition(buckets, "term").write.mode("overwrite").partitionBy("field")
+     .bucketBy(buckets, "term").sortBy("term")
+     .option("path", f"{path}/postings").saveAsTable(table))
+    index.doc_freq.write.mode("overwrite").parquet(f"{path}/doc_freq")
+    index.field_stats.write.mode("overwrite").parquet(f"{path}/field_stats")
+    index.docs.write.mode("overwrite").parquet(f"{path}/docs")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from quarry.operators import links as L
 from quarry.plans import sqlfrag as Q
 from quarry.plans.corpus import RESOLVED_SQL
 from quarry.plans.registry import register
+from quarry.session import scratch_path
+from quarry.sources import files as FS
 from quarry.sources import tables as S
 
 # Robots rules and delays are inputs (fetching robots files is outside the
@@ -36,12 +40,30 @@ def _rules_sql() -> str:
         for d, s, a, p in DEFAULT_RULES)
 
 
-def robots_sql(urls_sql: str) -> str:
+# Rules of hosts of their own, derived from the pages: a host's file allows the
+# beginning of its first path and then forbids a shorter beginning of its last.
+HOST_RULES_SQL = f"""
+SELECT domain, seq, allow, prefix FROM (
+  SELECT {Q.host('url')} AS domain, min(regexp_extract(url, '^[a-z]+://[^/]*(.*)', 1)) AS a,
+         max(regexp_extract(url, '^[a-z]+://[^/]*(.*)', 1)) AS z FROM pages WHERE page_id % 2 = 0 GROUP BY 1),
+  LATERAL (VALUES (1, TRUE, left(a, 6)), (2, FALSE, left(z, 4)), (3, FALSE, left(z, 5))) AS r(seq, allow, prefix)"""
+
+
+def host_rules(spark: SparkSession, sf: str) -> DataFrame:
+    path = F.regexp_extract("url", "^[a-z]+://[^/]*(.*)", 1)
+    own = (S.pages(spark, sf).where("page_id % 2 = 0").groupBy(U.host(F.col("url")).alias("domain"))
+           .agg(F.min(path).alias("a"), F.max(path).alias("z")))
+    return own.select("domain", F.inline(F.expr(
+        "array(struct(1, true, left(a, 6)), struct(2, false, left(z, 4)), struct(3, false, left(z, 5)))"))
+        .alias("seq", "allow", "prefix"))
+
+
+def robots_sql(urls_sql: str, more_rules: str = "") -> str:
     path = ("CASE WHEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^#]*)', 1) = '' "
             "THEN '/' ELSE regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^#]*)', 1) END")
     return f"""
 WITH u AS (SELECT DISTINCT url FROM ({urls_sql})),
-r AS ({_rules_sql()}),
+r AS ({_rules_sql()}{more_rules}),
 uh AS (SELECT url, {Q.host('url')} AS host FROM u),
 ud AS (SELECT uh.url, CASE WHEN EXISTS (SELECT 1 FROM r WHERE r.domain = uh.host)
                            THEN uh.host ELSE '*' END AS rd FROM uh),
@@ -103,6 +125,24 @@ def seed_order(spark: SparkSession, sf: str) -> DataFrame:
     return FR.seed_order(seeds)
 
 
+@register("seed_lists", sql=f"""
+WITH p AS (SELECT {Q.host('url')} AS domain, page_id, url FROM pages),
+c AS (SELECT domain FROM p GROUP BY domain HAVING min(page_id) % 2 = 0),
+s AS (SELECT domain, url, -page_id AS seq FROM p WHERE domain IN (SELECT domain FROM c)
+      UNION ALL SELECT domain, url, page_id FROM p WHERE domain NOT IN (SELECT domain FROM c))
+SELECT domain, url, row_number() OVER (PARTITION BY domain ORDER BY seq DESC, url) AS position FROM s""")
+def seed_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Sitemaps of all hosts written and read as XML; the hosts whose
+    first page has an even id have a cached list, in the reverse order."""
+    seeds = S.pages(spark, sf).select(U.host(F.col("url")).alias("domain"),
+                                      F.col("page_id").alias("seq"), "url")
+    path = scratch_path(spark, f"sitemaps-{uuid.uuid4().hex}")
+    FS.write_sitemaps(seeds, path)
+    have = seeds.groupBy("domain").agg(F.min("seq").alias("m")).where("m % 2 = 0").select("domain")
+    cached = seeds.join(have, "domain", "left_semi").withColumn("seq", -F.col("seq"))
+    return FR.seed_order(FR.seed_lists(cached, FS.read_sitemaps(spark, path)))
+
+
 @register("robots_filter", sql=robots_sql(f"SELECT url FROM pages UNION SELECT dst FROM ({RESOLVED_SQL})"))
 def robots_filter(spark: SparkSession, sf: str) -> DataFrame:
     pages = S.pages(spark, sf)
@@ -111,6 +151,16 @@ def robots_filter(spark: SparkSession, sf: str) -> DataFrame:
     return FR.robots_allowed(urls, rules_df(spark))
 
 
+@register("robots_by_host", sql=robots_sql(
+    f"SELECT url FROM pages UNION SELECT dst FROM ({RESOLVED_SQL})", f" UNION ALL {HOST_RULES_SQL}"))
+def robots_by_host(spark: SparkSession, sf: str) -> DataFrame:
+    """Hosts with rules of their own beside the shared ones."""
+    pages = S.pages(spark, sf)
+    urls = pages.select("url").unionByName(
+        L.resolved_links(pages).select(F.col("dst").alias("url")))
+    return FR.robots_allowed(urls, rules_df(spark).unionByName(host_rules(spark, sf)))
+
+
 @register("frontier", sql=frontier_sql())
 def frontier(spark: SparkSession, sf: str) -> DataFrame:
     return frontier_df(spark, sf)

@@ -3,8 +3,9 @@
 * ``read_html_dir`` — one document per file (``wholetext``) joined to a URL
   map, for corpora kept as a folder of saved pages.
 * ``read_adjacency_csv`` — the documented dense matrix format (header of
-  URLs after an empty first cell, one row per URL) to an edge list with
-  ``unpivot``; the matrix is never kept dense after the read.
+  URLs after an empty first cell, one row per URL) to an edge list: cells meet
+  the header by their place, so the plan does not grow with the columns.
+* ``read_sitemaps`` / ``write_sitemaps`` — seed lists as sitemap files (XML).
 * sinks — edges, ranks, title dictionary (JSON with explicit schema),
   synonyms, images — all written by Spark in parallel; readers use explicit
   schemas (no inference).
@@ -32,29 +33,52 @@ def read_html_dir(spark: SparkSession, folder: str, url_map: DataFrame) -> DataF
 
 
 def read_adjacency_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Dense adjacency CSV → ``(src, dst, w)`` for cells > 0."""
-    raw = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
-           .option("ignoreTrailingWhiteSpace", True).csv(path))
-    first, targets = raw.columns[0], raw.columns[1:]
-    # column names are URLs: rename positionally so dots need no quoting
-    safe = raw.toDF("src", *[f"c{i}" for i in range(len(targets))])
-    names = F.create_map(*[x for i, t in enumerate(targets)
-                           for x in (F.lit(f"c{i}"), F.lit(t))])
-    long = safe.unpivot(["src"], [f"c{i}" for i in range(len(targets))], "col", "w")
-    return (long.select("src", names[F.col("col")].alias("dst"),
-                        F.col("w").cast("double").alias("w"))
-            .where(F.col("w") > 0))
-
-
-def write_edges(edges: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Edge list as parquet; with ``buckets`` as a bucketed table sorted
-    by ``src`` so PageRank's join on ``src`` reads co-partitioned data."""
-    w = edges.write.mode("overwrite")
+    """Dense adjacency CSV → ``(src, dst, w)`` for cells > 0. The header is
+    the line whose first cell is empty; cells may be quoted."""
+    outside = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma outside quotes
+    line = F.col("value")
+    cells = F.when(line.contains('"'), F.split(line, outside)).otherwise(F.split(line, ","))
+    clean = F.transform(cells, lambda c: F.regexp_replace(F.trim(F.translate(c, "\t", " ")), r'^"|"$', ""))
+    rows = (spark.read.text(path).where(F.trim(line) != "").select(clean.alias("cells"))
+            .select(F.col("cells")[0].alias("src"), F.posexplode("cells").alias("pos", "cell"))
+            .where("pos > 0"))
+    header = rows.where(F.col("src") == "").select("pos", F.col("cell").alias("dst"))
+    body = (rows.where(F.col("src") != "")
+            .select("src", "pos", F.col("cell").try_cast("double").alias("w")).where(F.col("w") > 0))
+    return body.join(header, "pos").select("src", "dst", "w")
+
+
+def write_sitemaps(seeds: DataFrame, path: str) -> None:
+    """Seed lists ``(domain, seq, url)`` as sitemaps, one ``urlset`` per
+    domain (a sitemap holds 50,000 URLs at most, by its standard)."""
+    urls = F.transform(F.array_sort(F.collect_list(F.struct("seq", "url"))),
+                       lambda x: F.struct(x["url"].alias("loc")))
+    (seeds.groupBy("domain").agg(urls.alias("url")).select("url")
+     .write.mode("overwrite").format("xml").option("rootTag", "sitemaps").option("rowTag", "urlset").save(path))
+
+
+def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
+    """Sitemap files → ``(domain, seq, url)`` in the files' order; the
+    domain is the host of a list's first URL. Entries without an address are
+    left out."""
+    from quarry.functions import urls as U
+    lists = (spark.read.format("xml").option("rowTag", "urlset")
+             .schema("url array<struct<loc:string>>").load(path))
+    loc = F.filter(F.transform("url", lambda u: F.trim(u["loc"])), lambda u: u != "")
+    return (lists.select(loc.alias("urls")).where(F.size("urls") > 0)
+            .select(U.host(F.col("urls")[0]).alias("domain"), F.posexplode("urls").alias("seq", "url")))
+
+
+def write_edges(edges: DataFrame, path: str, buckets: int | None = None,
+                table: str = "quarry_edges") -> None:
+    """Edge list as parquet; with ``buckets`` as the bucketed ``table``
+    sorted by ``src``, one file per bucket, so PageRank's join on ``src`` reads
+    co-partitioned data."""
     if buckets:
-        (w.bucketBy(buckets, "src").sortBy("src").option("path", path)
-         .saveAsTable("quarry_edges"))
+        (edges.repartition(buckets, "src").write.mode("overwrite").bucketBy(buckets, "src").sortBy("src")
+         .option("path", path).saveAsTable(table))
     else:
-        w.parquet(path)
+        edges.write.mode("overwrite").parquet(path)
 
 
 def read_edges(spark: SparkSession, path: str) -> DataFrame:

@@ -82,3 +82,54 @@ def test_link_counts_and_map(spark):
     assert c == {"http://h/x": 2, "http://o/y": 1}
     m = L.adjacency_map(L.link_counts(pages)).first()
     assert dict(m.targets) == c
+
+
+def _plain_rounds(edges, nodes, rounds, d=0.85):
+    out = {}
+    for s, _, n in edges:
+        out[s] = out.get(s, 0) + n
+    pr = {v: 1 / len(nodes) for v in nodes}
+    for _ in range(rounds):
+        new = {v: (1 - d) / len(nodes) for v in nodes}
+        for s, t, n in edges:
+            new[t] += d * pr[s] * n / out[s]
+        pr = new
+    return pr
+
+
+def test_hot_source_is_dealt_over_tasks(spark, monkeypatch, tmp_dir):
+    monkeypatch.setattr(PR, "HOT_EDGES", 100)
+    rows = [("hub", f"n{i}", 1 + i % 2) for i in range(800)] + [(f"n{i}", f"n{(i * 7) % 800}", 1) for i in range(800)]
+    e = spark.createDataFrame(rows, "src string, dst string, n long")
+    names = {x for r in rows for x in r[:2]}
+    got = {r.node: r.pr for r in PR.pagerank(e, rounds=4).collect()}
+    want = _plain_rounds(rows, names, 4)
+    assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-12 for v in want)
+    nodes = spark.createDataFrame([(v,) for v in names], "node string")
+    t = PR.split_transitions(e, nodes, 4, tmp_dir, "test")
+    spark.sql("DROP TABLE quarry_pr_test_trans")
+    assert [r.node for r in t.sources.collect()] == ["hub"]
+    sizes = [r["count"] for r in t.hot.groupBy(F.spark_partition_id()).count().collect()]
+    files = [r["count"] for r in t.hot.groupBy("_metadata.file_name").count().collect()]
+    assert sum(sizes) == 800 and len(files) == 4 and max(files) < 300
+
+
+def test_changes_reach_the_same_fixed_point(spark):
+    rows = [(f"n{i}", f"n{(i * 7 + k * k) % 60}", 1) for i in range(60) for k in range(4)] + [("x", "n1", 2)]
+    e = spark.createDataFrame(rows, "src string, dst string, n long")
+    got = {r.node: r.pr for r in PR.pagerank(e, epsilon=1e-12, max_iter=300).collect()}
+    want = _plain_rounds(rows, {v for r in rows for v in r[:2]}, 250)
+    assert all(abs(got[v] - want[v]) < 1e-11 for v in want)
+    # a node that nobody links to stops sending after the first round
+    nodes = spark.createDataFrame([(v,) for v in want], "node string")
+    state = nodes.selectExpr("node", "0.5D AS pr", "CASE WHEN node = 'x' THEN 0.0D ELSE 0.1D END AS change")
+    t = PR.Transitions(PR.transitions(e), None, None)
+    after = {r.node: r for r in PR.change_step(t, state).collect()}
+    assert after["x"].change == 0 and len(after) == len(want)
+
+
+def test_no_rounds_and_no_nodes(spark):
+    e = spark.createDataFrame([("a", "b", 1)], "src string, dst string, n long")
+    assert {r.node: r.pr for r in PR.pagerank(e, rounds=0).collect()} == {"a": 0.5, "b": 0.5}
+    assert PR.pagerank(e.limit(0), rounds=3).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("quarry_pr")]

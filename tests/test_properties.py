@@ -41,3 +41,40 @@ def test_group_rank_and_fill_forward_random(spark, rows, block):
     gr = {r.id: r.rank for r in SQ.group_rank(df, ["g"], ["t", "id"]).collect()}
     ff = {r.id: r.f for r in SQ.fill_forward(df, ["g"], ["t", "id"], "v", "f", block).collect()}
     assert all(gr[i] == exp[i][0] and ff[i] == exp[i][1] for i in exp)
+
+
+def test_group_rank_over_partitions_of_one_group(spark):
+    """Groups that span many partitions, many groups in one, struct keys, nulls."""
+    rows = [((0, "hot"), i) for i in range(500)] + [((i % 40, None if i % 3 else "x"), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g struct<a:int,b:string>, v long").repartition(7)
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        got = {(tuple(r.g), r.v): (r.rank, r["_gpos"]) for r in SQ.group_rank(df, ["g"], [F.desc("v")]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    places = {}
+    for g, v in sorted(rows, key=lambda r: (r[0][0], r[0][1] or "", -r[1])):
+        places.setdefault(g, []).append(v)
+        assert got[g, v][0] == len(places[g])
+    assert sorted(p for _, p in got.values()) == list(range(1, len(rows) + 1))
+    empty = SQ.group_rank(df.limit(0), ["g"], ["v"])
+    assert empty.count() == 0 and "rank" in empty.columns
+
+
+def test_ranking_moves_the_rows_once(spark):
+    from tests.test_stored_index import plan_of
+    df = spark.createDataFrame([(i % 3, i) for i in range(50)], "g int, v int")
+    sent = []
+    keep = type(df).checkpoint
+    type(df).checkpoint = lambda self, **k: (sent.append(plan_of(self)), keep(self, **k))[1]
+    try:
+        ranked = SQ.group_rank(df, ["g"], ["v"])
+    finally:
+        type(df).checkpoint = keep
+    assert len(sent) == 1 and sent[0].split("(1) ")[0].count("Exchange") == 1
+    # after the checkpoint only tables of one row per partition are exchanged
+    assert "SortMergeJoin" not in plan_of(ranked) and "BroadcastHashJoin" in plan_of(ranked)

@@ -49,3 +49,40 @@ def test_write_index(spark, tmp_dir):
     assert post.where(F.col("field") == "title").count() == 2
     # the page text includes the <title> text, as get_text() does
     assert post.where((F.col("field") == "content") & (F.col("term") == "red")).first().tf == 2
+
+
+def test_wide_matrix(spark, tmp_dir):
+    """20,000 columns plan and run: cells meet the header by place."""
+    names = [f"http://h/{i}" for i in range(20_000)]
+    names[3] = 'http://h/a,b'
+    path = os.path.join(tmp_dir, "wide.csv")
+    with open(path, "w") as f:
+        f.write("," + ",\t".join(f'"{n}"' if "," in n else n for n in names) + "\n")
+        for row in (1, 19_999):
+            cells = ["0"] * 20_000
+            cells[row], cells[3] = "2", "1"
+            f.write(names[row] + "," + ", ".join(cells) + "\n")
+    got = sorted(tuple(r) for r in FS.read_adjacency_csv(spark, path).collect())
+    assert got == sorted([(names[1], names[1], 2.0), (names[1], "http://h/a,b", 1.0),
+                          (names[19_999], names[19_999], 2.0), (names[19_999], "http://h/a,b", 1.0)])
+
+
+def test_sitemaps(spark, tmp_dir):
+    from quarry.operators import frontier as FR
+    seeds = spark.createDataFrame([("a.org", 1, "http://a.org/1?x=1&y=<2>"), ("a.org", 2, "http://a.org/0"),
+                                   ("b.org", 5, "http://b.org/é")], "domain string, seq int, url string")
+    FS.write_sitemaps(seeds, os.path.join(tmp_dir, "maps"))
+    os.makedirs(os.path.join(tmp_dir, "maps2"))
+    with open(os.path.join(tmp_dir, "maps2", "c.xml"), "w") as f:
+        f.write('<?xml version="1.0"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+                "<url><loc> http://c.org/2 </loc><lastmod>2024-01-01</lastmod></url>"
+                "<url><priority>1</priority></url><url><loc>http://c.org/1</loc></url></urlset>")
+    read = FS.read_sitemaps(spark, os.path.join(tmp_dir, "maps"))
+    assert sorted(tuple(r) for r in read.collect()) == [
+        ("a.org", 0, "http://a.org/1?x=1&y=<2>"), ("a.org", 1, "http://a.org/0"), ("b.org", 0, "http://b.org/é")]
+    more = FS.read_sitemaps(spark, os.path.join(tmp_dir, "maps2"))
+    assert [r.url for r in more.orderBy("seq").collect()] == ["http://c.org/2", "http://c.org/1"]
+    cached = spark.createDataFrame([("a.org", 1, "http://a.org/kept")], "domain string, seq int, url string")
+    lists = FR.seed_lists(cached, read.unionByName(more))
+    assert sorted(r.url for r in lists.collect()) == [
+        "http://a.org/kept", "http://b.org/é", "http://c.org/1", "http://c.org/2"]
