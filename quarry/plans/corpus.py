@@ -141,3 +141,52 @@ def page_images(spark: SparkSession, sf: str) -> DataFrame:
     return (S.pages(spark, sf)
             .select("url", H.og_image(F.col("html")).alias("image_url"))
             .where(F.col("image_url").isNotNull()))
+
+
+# Entry pages built from the parts: titles with the site's suffix, a popularity
+# number (none for every fifth), a preview image in either order of attributes,
+# links that the strict filter drops. The given pages have none of these.
+ENTRY_PAGES_SQL = """
+SELECT p_partkey AS page_id, 'http://site.example/entry/' || p_partkey AS url,
+  '<html><head><title> ' || p_name || CASE WHEN p_partkey % 3 = 0 THEN ' | Manga (' || p_brand || ')'
+    WHEN p_partkey % 3 = 1 THEN ' (' || p_brand || ')' ELSE '' END || ' - MyAnimeList.net </title>' ||
+  CASE WHEN p_partkey % 2 = 0 THEN '<meta property="og:image" content="http://img.example/' || p_size || '.jpg">'
+    WHEN p_partkey % 7 = 0 THEN '' ELSE '<meta content="http://img.example/' || p_size || '.png" property="og:image">' END ||
+  '</head><body><span class="numbers popularity">Popularity <strong>' ||
+  CASE WHEN p_partkey % 5 = 0 THEN 'N/A' ELSE '#' || p_size END || '</strong></span>' ||
+  '<a href="/entry/' || (p_partkey + 1) || '">next</a><a href="#top">top</a>' ||
+  '<a href="/wiki/Special:Random">any</a><a href="/Category:' || p_size || '">more</a></body></html>' AS html
+FROM part"""
+
+
+def entry_pages(spark: SparkSession, sf: str) -> DataFrame:
+    part = S.table(spark, sf, "part")
+    expr = ENTRY_PAGES_SQL.split(" AS url,", 1)[1].rsplit(" AS html", 1)[0]
+    return part.select(F.col("p_partkey").alias("page_id"),
+                       F.expr("'http://site.example/entry/' || p_partkey").alias("url"),
+                       F.expr(expr).alias("html"))
+
+
+@register("entry_fields", sql=f"""
+SELECT page_id, {Q.index_title('html')} AS title, {Q.clean_title(Q.raw_title('html'))} AS clean,
+  99999 - coalesce({_POP_SQL}, 99999) AS weight, {_IMG_SQL} AS image_url,
+  len(list_filter({Q.anchor_hrefs('html')}, lambda h: h <> '' AND {' AND '.join(f"NOT contains(h, {Q.lit(p)})" for p in STRICT_LINK_PATTERNS)}))::INTEGER AS n_strict
+FROM ({ENTRY_PAGES_SQL})""")
+def entry_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """T8-T12, F1 on entry pages: title, dictionary title, weight, image, links
+    left by the strict filter."""
+    html = F.col("html")
+    strict = F.filter(H.anchor_hrefs(html), L.strict_ok)
+    return entry_pages(spark, sf).select(
+        "page_id", H.index_title(html).alias("title"), H.clean_title(H.raw_title(html)).alias("clean"),
+        H.title_weight(html).alias("weight"), H.og_image(html).alias("image_url"),
+        F.size(strict).alias("n_strict"))
+
+
+@register("token_rows", sql=f"""
+SELECT item_id, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS token
+FROM (SELECT item_id, {Q.punct_tokens('text')} AS toks FROM benchmark)""")
+def token_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The tokens themselves, in order."""
+    return S.table(spark, sf, "benchmark").select(
+        "item_id", F.posexplode(TX.punct_tokens(F.col("text"))).alias("pos", "token"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from quarry.plans.corpus import RESOLVED_SQL
 from quarry.plans.registry import register
 from quarry.sources import tables as S
 from quarry.streaming import debounce as DB
+from quarry.session import scratch_path
 from quarry.streaming import ingest as IG
 from quarry.streaming import replay as RP
+from quarry.streaming import tables as IT
 
 DEBOUNCE_GAP = "10 minutes"
 
@@ -48,6 +52,27 @@ def query_replay(spark: SparkSession, sf: str) -> DataFrame:
     return r.select(F.col("session").alias("conv_id"), F.col("seq").alias("turn"), "q")
 
 
+@register("query_replay_home", sql="""
+WITH e AS (
+  SELECT event_id, user_id, ts, event_type = 'view' AS home,
+         CASE WHEN event_type IN ('click', 'purchase') THEN CAST(floor(value) AS BIGINT) END AS q FROM events),
+s AS (SELECT *, sum(CASE WHEN home THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS visit FROM e)
+SELECT event_id, CASE WHEN home THEN NULL ELSE last_value(q IGNORE NULLS) OVER (
+         PARTITION BY user_id, visit ORDER BY ts, event_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS q
+FROM s""")
+def query_replay_home(spark: SparkSession, sf: str) -> DataFrame:
+    """R2 over the request log: clicks and purchases search for their value,
+    a view opens the home page, which forgets the last query."""
+    e = S.events(spark, sf)
+    q = F.when(F.col("event_type").isin("click", "purchase"), F.floor("value").cast("long").cast("string"))
+    req = e.select(F.col("user_id").alias("session"), F.struct("ts", "event_id").alias("seq"), q.alias("q"),
+                   (F.col("event_type") == "view").alias("home"))
+    r = RP.query_replay(req)
+    return r.select("seq.event_id", F.col("q").cast("long").alias("q"))
+
+
 @register("page_replay", sql=f"""
 WITH RECURSIVE e AS (
   SELECT event_id, user_id,
@@ -97,3 +122,26 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """The pages table, a file or a folder of files, fed through the
     streaming ingestion (dedup by URL, links out); equals ``distinct_links``."""
     return IG.ingest_to_table(spark, IG.one_table(f"{sf}/pages.parquet"))
+
+
+@register("ingest_tables", sql=f"""
+WITH p AS (SELECT * FROM pages QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id NULLS LAST) = 1),
+l AS (SELECT DISTINCT url AS src, dst FROM ({RESOLVED_SQL}))
+SELECT p.url, length({Q.visible_text('html')}) AS n_chars, coalesce(k.n, 0) AS n_links,
+       (SELECT count(*) FROM pages) AS n_rows, (SELECT count(*) FROM p) AS new_pages,
+       (SELECT count(*) FROM l) AS links
+FROM p LEFT JOIN (SELECT src, count(*) AS n FROM l GROUP BY src) k ON k.src = p.url""")
+def ingest_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages table through the batched crawl loop: every stored
+    page with the size of its text and its links, and the observed counters."""
+    base = scratch_path(spark, f"crawl-{uuid.uuid4().hex}")
+    IT.ingest_tables(spark, IG.one_table(f"{sf}/pages.parquet"), f"{base}/tables", f"{base}/checkpoint")
+    read = lambda kind: IT.read_table(spark, f"{base}/tables", kind)
+    links = read("edges").groupBy(F.col("src").alias("url")).agg(F.count(F.lit(1)).alias("n"))
+    # a row per batch, summed to one
+    sums = read("counters").agg(F.sum("rows").alias("n_rows"), F.sum("new_pages").alias("new_pages"),
+                                F.sum("links").alias("links")).first()
+    return (read("clean").select("url", F.length("text").cast("long").alias("n_chars"))
+            .join(links, "url", "left")
+            .select("url", "n_chars", F.coalesce("n", F.lit(0)).alias("n_links"),
+                    *[F.lit(v).cast("long").alias(k) for k, v in sums.asDict().items()]))

@@ -35,9 +35,10 @@ def read_html_dir(spark: SparkSession, folder: str, url_map: DataFrame) -> DataF
 def read_adjacency_csv(spark: SparkSession, path: str) -> DataFrame:
     """Dense adjacency CSV → ``(src, dst, w)`` for cells > 0. The header is
     the line whose first cell is empty; cells may be quoted."""
-    outside = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma outside quotes
+    cell = r'\s*("[^"]*"|[^,]*?)\s*(?:,|$)'  # one after the other, commas within quotes kept
     line = F.col("value")
-    cells = F.when(line.contains('"'), F.split(line, outside)).otherwise(F.split(line, ","))
+    cells = (F.when(line.contains('"'), F.regexp_extract_all(line, F.lit(cell), 1))
+             .otherwise(F.split(line, ",")))
     clean = F.transform(cells, lambda c: F.regexp_replace(F.trim(F.translate(c, "\t", " ")), r'^"|"$', ""))
     rows = (spark.read.text(path).where(F.trim(line) != "").select(clean.alias("cells"))
             .select(F.col("cells")[0].alias("src"), F.posexplode("cells").alias("pos", "cell"))

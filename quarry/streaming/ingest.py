@@ -35,8 +35,10 @@ def page_links_stream(pages: DataFrame) -> DataFrame:
 
 def one_table(path: str) -> str:
     """A glob that matches exactly ``path``: a stream takes a folder or a
-    glob, and a table may be one file as well as a folder of files."""
-    return f"{path[:-1]}[{path[-1]}]"
+    glob, and a table may be one file as well as a folder of files. Signs that
+    a glob reads otherwise are escaped."""
+    plain = "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path[:-1])
+    return f"{plain}[{path[-1]}]"
 
 
 def ingest(spark: SparkSession, source: str, out: str, checkpoint: str,

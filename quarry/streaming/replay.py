@@ -57,7 +57,15 @@ def mode_replay(events: DataFrame, block_rows: int = SQ.BLOCK_ROWS) -> DataFrame
 
 def query_replay(requests: DataFrame, block_rows: int = SQ.BLOCK_ROWS) -> DataFrame:
     """R2: a request without ``q`` searches the session's last query:
-    ``requests(session, seq, q)`` → ``(session, seq, q)``."""
+    ``requests(session, seq, q)`` → ``(session, seq, q)``. Where ``requests``
+    has a column ``home`` and it is true, the home page is opened: the last
+    query is forgotten."""
+    if "home" in requests.columns:
+        home = F.coalesce("home", F.lit(False))
+        known = F.when(home, F.struct(F.lit(None).cast("string").alias("q"))) \
+            .when(F.col("q").isNotNull(), F.struct("q"))
+        f = SQ.fill_forward(requests.withColumn("_set", known), ["session"], ["seq"], "_set", "_eff", block_rows)
+        return f.select("session", "seq", F.col("_eff.q").alias("q"))
     f = SQ.fill_forward(requests, ["session"], ["seq"], "q", "q_eff", block_rows)
     return f.select("session", "seq", F.col("q_eff").alias("q"))
 
@@ -83,14 +91,16 @@ def _block_scan(pdf: pd.DataFrame) -> pd.DataFrame:
     s = pdf["s"].to_numpy(np.int64)
     lo = pdf["lo"].to_numpy(np.int64)
     hi = pdf["hi"].to_numpy(np.int64)
-    ps, pl, ph = np.empty_like(s), np.empty_like(lo), np.empty_like(hi)
-    acc = (0, -_BIG, _BIG)
-    for i in range(len(s)):
-        acc = _compose(acc, (s[i], lo[i], hi[i]))
-        ps[i], pl[i], ph[i] = acc
+    # after the pass with a given step every place holds the last 2 * step requests
+    acc, step = (s, lo, hi), 1
+    while step < len(s):
+        later = _compose(tuple(v[:-step] for v in acc), tuple(v[step:] for v in acc))
+        acc = tuple(np.concatenate([v[:step], w]) for v, w in zip(acc, later, strict=True))
+        step *= 2
+    ps, pl, ph = acc
     return pd.DataFrame({"user_id": pdf["user_id"].to_numpy(), "_blk": pdf["_blk"].to_numpy(),
-                         "event_id": pdf["event_id"].to_numpy(),
-                         "ps": ps, "pl": pl, "ph": ph})
+                         "_r": pdf["_r"].to_numpy(), "event_id": pdf["event_id"].to_numpy(),
+                         "cur_total": pdf["cur_total"].astype("Int64"), "ps": ps, "pl": pl, "ph": ph})
 
 
 def _carry_scan(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -125,21 +135,17 @@ def page_replay(events: DataFrame, page_len: int = PAGE_LEN,
          .withColumn("hi", F.when(F.col("act").isin("query", "first"), 1)
                      .when(F.col("act").isin("next", "prev"), last).otherwise(_BIG).cast("long")))
     r = e.withColumn("_blk", F.floor((F.col("_r") - 1) / block_rows))
-    local = (r.select("user_id", "_blk", "_r", "event_id", "s", "lo", "hi")
+    local = (r.select("user_id", "_blk", "_r", "event_id", "cur_total", "s", "lo", "hi")
              .groupBy("user_id", "_blk")
-             .applyInPandas(_block_scan, "user_id long, _blk long, event_id long, "
-                                         "ps long, pl long, ph long"))
+             .applyInPandas(_block_scan, "user_id long, _blk long, _r long, event_id long, "
+                                         "cur_total long, ps long, pl long, ph long"))
     # a block's summary is the prefix composition at its last request
-    last_in_block = (r.groupBy("user_id", "_blk").agg(F.max("_r").alias("_rmax")))
-    ends = (r.join(last_in_block, ["user_id", "_blk"])
-            .where(F.col("_r") == F.col("_rmax")).select("user_id", "_blk", "event_id"))
-    summary = (local.join(ends, ["user_id", "_blk", "event_id"])
-               .select("user_id", "_blk", F.col("ps").alias("bs"),
-                       F.col("pl").alias("bl"), F.col("ph").alias("bh")))
+    summary = (local.groupBy("user_id", "_blk")
+               .agg(F.max_by("ps", "_r").alias("bs"), F.max_by("pl", "_r").alias("bl"),
+                    F.max_by("ph", "_r").alias("bh")))
     carry = summary.groupBy("user_id").applyInPandas(
         _carry_scan, "user_id long, _blk long, x_in long")
-    out = local.join(carry, ["user_id", "_blk"]).join(
-        r.select("event_id", "cur_total"), "event_id")
+    out = local.join(carry, ["user_id", "_blk"])
     page = F.least(F.col("ph"), F.greatest(F.col("pl"), F.col("x_in") + F.col("ps")))
     return out.select("event_id",
                       F.when(F.col("cur_total").isNotNull(), page).cast("int").alias("page_no"))
