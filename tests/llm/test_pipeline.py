@@ -50,7 +50,7 @@ def test_run_and_registration(spark):
     packed = C.run(spark, SF001)
     assert packed.columns == packing.op3_packing(table(spark, SF001, "documents")).columns
     assert packed.count() > 50
-    assert [re.match(r"op\d+", q).group() for q in catalog.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [re.match(r"op\d+", q).group() for q in catalog.queries()] == [f"op{k}" for k in range(1, 14)]
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
 
 
