@@ -91,13 +91,21 @@ def test_search_plan_reads_buckets_and_no_pages(spark, pages, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "html" not in plan
-    scans = [p for p in plan.split("\n\n") if "Scan parquet" in p and "postings" in p]
+    tree, *nodes = plan.split("\n\n")
+    scans = [p for p in nodes if "Scan parquet" in p and "postings" in p]
     assert len(scans) == 2 and all("SelectedBucketsCount: 4 out of 4" in p for p in scans)
-    # every exchange carries queries or candidates, none the stored postings
-    tree = plan[:plan.index("(1) ")]
-    for scan in [i for i, line in enumerate(tree.splitlines()) if "_postings" in line]:
-        above = tree.splitlines()[max(0, scan - 4):scan]
-        assert not any("Exchange" in line for line in above[-2:]), tree
+    # from a postings scan up to its join there is no exchange
+    lines = [(len(line) - len(line.lstrip(" :+-")), line) for line in tree.splitlines()]
+    found = [i for i, (_, line) in enumerate(lines) if "Scan parquet" in line and "postings" in line]
+    assert len(found) == 2
+    for i in found:
+        depth, parents = lines[i][0], []
+        for d, line in lines[:i][::-1]:
+            if d < depth:
+                depth = d
+                parents.append(line)
+        join = next(k for k, line in enumerate(parents) if "Join" in line)
+        assert not any("Exchange" in line for line in parents[:join]), tree
 
 
 def test_search_of_many_segments(spark, pages, tmp_dir):
