@@ -28,6 +28,7 @@ MAX_SYMBOL_PCT = 50   # symbols per 100 words
 MAX_DUP_PCT = 50      # repeated lines per 100 lines with a word
 MAX_RATE = 0.5        # shrunk failure rate from which a host is rejected
 SALT_ROWS = 1_000_000  # documents of one host that share a join key
+HOT_SHARE = 1000  # a host with more than one in so many documents is dealt over several keys
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -104,18 +105,31 @@ def host_verdicts(rules: DataFrame) -> DataFrame:
             .withColumn("host_rejected", F.col("host_rate") >= MAX_RATE).drop("rate"))
 
 
+def hot_hosts(hosts: DataFrame) -> DataFrame:
+    """(source, salts): the hosts with more than a thousandth of all documents,
+    or SALT_ROWS, and into how many keys theirs are dealt. Fewer than 1000 rows,
+    or one in SALT_ROWS documents."""
+    total = hosts.agg(F.sum("host_docs")).first()[0] or 0
+    most = min(SALT_ROWS, max(1, total // HOT_SHARE))
+    return hosts.where(F.col("host_docs") > most).select(
+        "source", F.ceil(F.col("host_docs") / most).cast("int").alias("salts"))
+
+
 def host_rules(docs: DataFrame) -> DataFrame:
     """Counts, rules, host rate and verdict of every document.
 
     The counts are written once; the host table is joined back on (host,
-    salt), so the documents of a hot host spread over several keys."""
+    salt), so the documents of a hot host spread over several keys. Only hot
+    hosts are repeated, once for each of their salts."""
     rules = stored(with_rules(document_counts(docs)), "host-rules")
     hosts = stored(host_verdicts(rules), "host-verdicts")
-    largest = hosts.agg(F.max("host_docs")).first()[0] or 0
-    n = 8 + int(largest // SALT_ROWS)
-    salted = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    rows = rules.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"),
-                                           F.lit(n)).cast("int"))
+    hot = F.broadcast(hot_hosts(hosts))  # bounded, see there
+    salts = F.coalesce("salts", F.when(F.col("source").isNull(), HOT_SHARE).otherwise(1))
+    salted = (hosts.join(hot, "source", "left")
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts"))
+    rows = (rules.join(hot, "source", "left")
+            .withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"),
+                                       salts).cast("int")).drop("salts"))
     joined = rows.join(salted, ["source", "salt"], "left").drop("salt")
     rejected = F.coalesce("host_rejected", F.lit(False))
     return joined.withColumn("kept", ~F.col("base_failed") & ~rejected)

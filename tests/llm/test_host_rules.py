@@ -52,3 +52,18 @@ def test_shrinkage_and_empty_table(spark):
     for r in H.host_verdicts(rules).collect():
         assert 0 < r.host_rate < 1
     assert H.op10_host_rules(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_only_hot_hosts_are_dealt_over_keys(spark):
+    hosts = spark.createDataFrame([("hot", 4000), ("warm", 9), *((f"h{i}", 1) for i in range(5991))],
+                                  "source string, host_docs long")  # 10,000 documents
+    assert [tuple(r) for r in H.hot_hosts(hosts).collect()] == [("hot", 400)]
+    assert H.hot_hosts(hosts.limit(0)).count() == 0
+
+
+def test_hot_host_keeps_its_rows_and_verdict(spark):
+    rows = [(i, "no " * 60, "hot") for i in range(400)] + [
+        (1000 + i, prose(i, 80), f"h{i % 50}" if i % 3 else None) for i in range(300)]
+    out = H.op10_host_rules(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in out) == sorted(i for i, _, _ in rows)
+    assert all(r.kept == (r.doc_id >= 1000) for r in out)
