@@ -13,7 +13,7 @@ Words are counted over all documents. The 2 * sqrt(words of the corpus) most
 frequent (``own_words``, at least SMALLEST) have an id of their own; a quarter as
 many ids are shared by the others, by checksum, and a word's probability is
 its id's, divided by the number of words that share it. The model grows with the
-root of the corpus: on 1.5e13 words (about 100 TB) 7.7 million words, 1.1 GB
+root of the corpus: on 1.5e13 words (about 100 TB) 7.7 million words, 1.2 GB
 of weights, which the driver, the broadcast and every task hold.
 
 Training passes over all documents too: every task runs AdaGrad on the words
