@@ -112,3 +112,30 @@ def test_paging(spark):
     assert sorted(by[(3, 1, 11)]) == list(range(1, 11))
     pages = SE.with_pages(ranked).where("query_id = 3").collect()
     assert sorted(r.page_no for r in pages) == [1] * 10 + [2]
+
+
+def test_equal_queries_are_searched_once(spark, monkeypatch):
+    """Queries of the same terms are one class, matched and ranked once; every
+    query gets the rows, also one without an id and those of a large class."""
+    monkeypatch.setattr(SE, "MEMBER_ROWS", 8)
+    ix, seen, match = _index(spark), [], SE.match_groups
+
+    def counted(qterms, index):
+        seen.append(qterms.select("query_id").distinct().count())
+        return match(qterms, index)
+
+    monkeypatch.setattr(SE, "match_groups", counted)
+    texts = [(i, "red") for i in range(40)] + [(None, "red"), (50, "Red, red!"), (51, "blue red"), (52, "blue"),
+                                               (53, "purple"), (54, ""), (55, None)]
+    queries = spark.createDataFrame(texts, "query_id long, query string")
+    got = sorted((str(r.query_id), r.url, r.rank) for r in SE.search(queries, ix, "bm25").collect())
+    red = [("http://d/1", 1), ("http://d/2", 2)]
+    want = [(str(i), *hit) for i in [*range(40), None, 50] for hit in red]
+    want += [("51", "http://d/1", 1), ("52", "http://d/3", 1), ("52", "http://d/1", 2)]
+    assert got == sorted(want)
+    terms = SE.analyze_groups(SE.title_queries(queries), stem=False, dedup_groups=False)
+    first = sorted((str(r.query_id), r.url, r.rank) for r in SE.first_hits(terms, ix, 1).collect())
+    assert first == sorted(w for w in want if w[2] == 1)
+    top = SE.submit(queries, ix, mode="bm25").where("query_id < 40")
+    assert sorted((r.url, r.rank) for r in top.collect()) == sorted(red * 40)
+    assert seen == [4] * 3  # red, blue red, blue, purple
