@@ -10,13 +10,15 @@ with a third of all requests is spread over many tasks:
 * R3 is a clamped walk (next/previous page bounded by 1 and the last page).
   Each request is a function ``x -> min(hi, max(lo, x + s))``; these compose
   into the same form, so blocks of at most ``block_rows`` requests are
-  scanned locally and only one summary per block is scanned per user.
+  scanned locally, those of many users in one pass, and only one summary per
+  full block is scanned per user.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,35 +87,56 @@ def _apply(f, x):
     return np.minimum(hi, np.maximum(lo, x + s))
 
 
-def _block_scan(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Prefix compositions inside one block (at most block_rows rows)."""
-    pdf = pdf.sort_values("_r")
-    s = pdf["s"].to_numpy(np.int64)
-    lo = pdf["lo"].to_numpy(np.int64)
-    hi = pdf["hi"].to_numpy(np.int64)
-    # after the pass with a given step every place holds the last 2 * step requests
-    acc, step = (s, lo, hi), 1
-    while step < len(s):
-        later = _compose(tuple(v[:-step] for v in acc), tuple(v[step:] for v in acc))
-        acc = tuple(np.concatenate([v[:step], w]) for v, w in zip(acc, later, strict=True))
-        step *= 2
-    ps, pl, ph = acc
-    return pd.DataFrame({"user_id": pdf["user_id"].to_numpy(), "_blk": pdf["_blk"].to_numpy(),
-                         "_r": pdf["_r"].to_numpy(), "event_id": pdf["event_id"].to_numpy(),
-                         "cur_total": pdf["cur_total"].astype("Int64"), "ps": ps, "pl": pl, "ph": ph})
+SCANNED = "user_id long, _blk long, _r long, event_id long, cur_total long, ps long, pl long, ph long"
+
+
+def _scan(block_rows: int):
+    """Prefix compositions inside every block of a partition's rows, which are
+    sorted by (user_id, _blk, _r): many users' blocks in one pass over a batch.
+    A block begins where ``_r``, which has no gaps, passes its multiple; what a
+    batch leaves of an unfinished block goes into the next batch."""
+    def run(batches):
+        carry = None  # composition of the last block so far
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            r = batch.column("_r").to_numpy()
+            acc = [batch.column(c).to_numpy().copy() for c in ("s", "lo", "hi")]
+            at = np.arange(n)
+            first = (r - 1) % block_rows == 0
+            start = np.maximum.accumulate(np.where(first, at, 0))
+            # after the pass with a given step every place holds the last 2 * step requests
+            step, place = 1, at[at - 1 >= start]
+            while len(place):
+                both = _compose([v[place - step] for v in acc], [v[place] for v in acc])
+                for v, w in zip(acc, both, strict=True):
+                    v[place] = w
+                step *= 2
+                place = place[place - step >= start[place]]
+            if carry is not None and not first[0]:
+                end = int(np.argmax(first)) if first.any() else n
+                for v, w in zip(acc, _compose(carry, [v[:end] for v in acc]), strict=True):
+                    v[:end] = w
+            carry = [v[-1] for v in acc]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("user_id", "_blk", "_r", "event_id", "cur_total")]
+                + [pa.array(v) for v in acc],
+                names=["user_id", "_blk", "_r", "event_id", "cur_total", "ps", "pl", "ph"])
+    return run
 
 
 def _carry_scan(pdf: pd.DataFrame) -> pd.DataFrame:
-    """State entering each block of one user, from the block summaries
-    (one row per block)."""
+    """State that the full blocks of one user leave to the next block, from
+    their summaries (one row per full block)."""
     pdf = pdf.sort_values("_blk")
     x = 1
     ins = []
     for s, lo, hi in zip(pdf["bs"], pdf["bl"], pdf["bh"]):
-        ins.append(x)
         x = int(_apply((s, lo, hi), x))
+        ins.append(x)
     return pd.DataFrame({"user_id": pdf["user_id"].to_numpy(),
-                         "_blk": pdf["_blk"].to_numpy(), "x_in": ins})
+                         "_blk": pdf["_blk"].to_numpy() + 1, "x_in": ins})
 
 
 def page_replay(events: DataFrame, page_len: int = PAGE_LEN,
@@ -136,16 +159,17 @@ def page_replay(events: DataFrame, page_len: int = PAGE_LEN,
                      .when(F.col("act").isin("next", "prev"), last).otherwise(_BIG).cast("long")))
     r = e.withColumn("_blk", F.floor((F.col("_r") - 1) / block_rows))
     local = (r.select("user_id", "_blk", "_r", "event_id", "cur_total", "s", "lo", "hi")
-             .groupBy("user_id", "_blk")
-             .applyInPandas(_block_scan, "user_id long, _blk long, _r long, event_id long, "
-                                         "cur_total long, ps long, pl long, ph long"))
-    # a block's summary is the prefix composition at its last request
-    summary = (local.groupBy("user_id", "_blk")
-               .agg(F.max_by("ps", "_r").alias("bs"), F.max_by("pl", "_r").alias("bl"),
-                    F.max_by("ph", "_r").alias("bh")))
+             .repartition("user_id", "_blk").sortWithinPartitions("user_id", "_blk", "_r")
+             .mapInArrow(_scan(block_rows), SCANNED).checkpoint(eager=True))
+    # only a full block has a next one; its summary is the prefix composition
+    # at its last request
+    summary = (local.where(F.col("_r") % block_rows == 0)
+               .select("user_id", "_blk", F.col("ps").alias("bs"), F.col("pl").alias("bl"),
+                       F.col("ph").alias("bh")))
     carry = summary.groupBy("user_id").applyInPandas(
         _carry_scan, "user_id long, _blk long, x_in long")
-    out = local.join(carry, ["user_id", "_blk"])
+    out = (local.join(carry, ["user_id", "_blk"], "left")
+           .withColumn("x_in", F.coalesce("x_in", F.lit(1))))
     page = F.least(F.col("ph"), F.greatest(F.col("pl"), F.col("x_in") + F.col("ps")))
     return out.select("event_id",
                       F.when(F.col("cur_total").isNotNull(), page).cast("int").alias("page_no"))

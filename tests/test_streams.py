@@ -139,3 +139,28 @@ def test_mode_replay_stream_matches_batch(spark, tmp_dir):
     got = {r.event_id: r.mode for r in spark.table("modes_stream").collect()}
     expect = {r.event_id: r.mode for r in RP.mode_replay(ev).collect()}
     assert got == expect
+
+
+def test_page_scan_takes_blocks_of_many_users_in_one_pass():
+    """Blocks begin and end anywhere in a batch; each gets the compositions of
+    its own requests."""
+    import random
+
+    import pyarrow as pa
+    rng = random.Random(3)
+    rows = [(user, (r - 1) // 4, r) for user in range(30) for r in range(1, rng.randint(1, 11) + 1)]
+    moves = [rng.choice([(1, 1, 3), (-1, 1, 3), (0, 1, 1), (0, -9, 9)]) for _ in rows]
+    columns = {"user_id": [r[0] for r in rows], "_blk": [r[1] for r in rows], "_r": [r[2] for r in rows],
+               "event_id": list(range(len(rows))), "cur_total": [None] * len(rows),
+               "s": [m[0] for m in moves], "lo": [m[1] for m in moves], "hi": [m[2] for m in moves]}
+    whole = pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in columns.items()})
+    expect, x = [], None
+    for (_, _, r), (s, lo, hi) in zip(rows, moves, strict=True):
+        x = 2 if (r - 1) % 4 == 0 else x
+        x = min(hi, max(lo, x + s))
+        expect.append(x)
+    for size in (1, 3, 7, len(rows)):
+        batches = [whole.slice(i, size) for i in range(0, len(rows), size)]
+        got = [min(h, max(lo, 2 + s)) for b in RP._scan(4)(iter(batches))
+               for s, lo, h in zip(*(b.column(c).to_pylist() for c in ("ps", "pl", "ph")), strict=True)]
+        assert got == expect
