@@ -20,12 +20,12 @@ other columns are ignored.
 from __future__ import annotations
 
 import bisect
-import itertools
 import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,82 +41,142 @@ CHILDREN = 8           # per island and epoch
 FILLS = (0.999, 0.99, 0.9, 0.5, 0.0)  # fills at which a bin is settled, one after the other
 SETTLES = 0.25         # share of its pieces that a level should settle
 GROWN = 4              # times SHARD that a shard has at most
-MEMO_WORDS = 700_000   # encoded words a worker remembers at a time (about 150 MB)
+MEMO_WORDS = 500_000   # encoded words a worker remembers, about
+TEXT = 6_000_000       # characters of text encoded at a time
+# a word of Latin letters below U+0250, but for U+0130
+LETTERS = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
+
+
+def bytes_of(words: pa.Array) -> list[bytes]:
+    """The values of a string array."""
+    _, ends, data = words.buffers()
+    at = np.frombuffer(ends, np.int32)[words.offset:words.offset + len(words) + 1].tolist()
+    raw = data.to_pybytes() if data is not None else b""
+    return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
+def parts(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(core, tail) of words: the tail is a run of commas and stops after a
+    letter. ASCII words are lowered, but for marks such as <|endoftext|>."""
+    plain = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, "<"))
+    words = pc.if_else(plain, pc.ascii_lower(words), words)
+    core = pc.if_else(pc.match_substring_regex(words, "[A-Za-z][,.]+$"), pc.ascii_rtrim(words, ",."), words)
+    size = pc.subtract(pc.binary_length(words), pc.binary_length(core)).to_numpy()
+    tail = [b""] * len(words)
+    raw = bytes_of(words)
+    for k in np.flatnonzero(size).tolist():
+        tail[k] = raw[k][-size[k]:]
+    return core, pa.array(tail, pa.binary()).view(pa.string())
+
+
+def taken(flat: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``flat``, which lie there one after the other with their
+    ``size``, in the order ``which``; and where each ends."""
+    n = size[which]
+    ends = np.cumsum(n)
+    shift = (np.cumsum(size) - size)[which] - ends + n
+    return flat[np.repeat(shift, n) + np.arange(ends[-1])], ends
 
 
 class Encoder:
     """Ids of whole texts, as little-endian bytes, by encoding each distinct
     word once. The tokenizer's normaliser and pattern never look across ASCII
     white space, nor from a letter to the comma or stop after it, so a text's
-    ids are those of its words in a row."""
+    ids are those of its words in a row. Texts are cut and their words numbered
+    by Arrow; Python sees the distinct words of a slice only."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the memo before; what is met again moves on
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
-    @staticmethod
-    def parts(word: bytes) -> tuple[bytes, bytes]:
-        """(core, tail): the tail is a run of commas and stops after a letter."""
-        core = word.rstrip(b",.")
-        if not core or not core[-1:].isalpha():
-            return word, b""
-        return core, word[len(core):]
-
-    def encode_line(self, some: list[tuple[bytes, str]]) -> list[tuple[bytes, str]]:
+    def encode_line(self, some: list[bytes]) -> list[bytes]:
         """Encode words of Latin letters as one line; each is one word of the
         tokenizer, so its last id carries the end mark. Gives back the words
         if the marks don't match them one to one."""
-        e = self.tokenizer.encode_batch_fast([" ".join(s for _, s in some)], add_special_tokens=False)
+        e = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
         ids = np.array(e[0].ids, "<u4")
         ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
         if len(ends) != len(some):
             return some
         raw = ids.tobytes()
-        self.memo.update(zip((w for w, _ in some),
-                             (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        self.memo.update(zip(some, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
         return []
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        new = set(itertools.chain.from_iterable(words)).difference(memo)
-        cut = {w: self.parts(w.lower() if w.isascii() and b"<" not in w else w) for w in new}
-        todo = set(itertools.chain.from_iterable(cut.values())).difference(memo)
-        todo.discard(b"")
-        plain, other = [], []
-        for w in todo:
-            s = w.decode("utf-8", "replace")
-            letters = s.isalpha() and max(s) < "\u0250" and "\u0130" not in s
-            (plain if letters else other).append((w, s))
+    def learn(self, words: list[bytes]) -> None:
+        """Put the ids of words into the memo."""
+        text = pa.array(words, pa.binary()).view(pa.string())
+        letters = pc.match_substring_regex(text, LETTERS).to_numpy(zero_copy_only=False).tolist()
+        plain = [w for w, yes in zip(words, letters, strict=True) if yes]
+        other = [w for w, yes in zip(words, letters, strict=True) if not yes]
         for at in range(0, len(plain), 1000):
             other += self.encode_line(plain[at:at + 1000])
         for at in range(0, len(other), 5000):
             some = other[at:at + 5000]
-            found = self.tokenizer.encode_batch_fast([s for _, s in some], add_special_tokens=False)
-            for (w, _), e in zip(some, found, strict=True):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-        for w, (core, tail) in cut.items():
-            memo[w] = memo[core] + memo[tail] if tail else memo[core]
-        end = np.array([END], "<u4").tobytes()
-        get = memo.__getitem__
-        return [b"".join(map(get, ws)) + end for ws in words]
-
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some],
+                                                     add_special_tokens=False)
+            self.memo.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
+
+    def ids_of(self, words: pa.Array) -> list[bytes]:
+        """Ids of distinct words."""
+        own = bytes_of(words)
+        if len(self.memo) > MEMO_WORDS // 2:
+            self.memo, self.older = {}, self.memo
+        found = list(map(self.memo.get, own))
+        if None in found:
+            new = [w for w, ids in zip(own, found, strict=True) if ids is None]
+            again = list(map(self.older.get, new))
+            self.memo.update((w, ids) for w, ids in zip(new, again, strict=True) if ids is not None)
+            self.learn([w for w, ids in zip(new, again, strict=True) if ids is None])
+            found = list(map(self.memo.__getitem__, own))
+        return found
 
-_encoders: dict[str, Encoder] = {}  # one per worker process, reused by its tasks
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        raw = pa.array([t.encode("utf-8", "surrogatepass") for t in texts], pa.binary())
+        split = pc.ascii_split_whitespace(raw.view(pa.string()))  # bytes alone are looked at
+        numbered = split.flatten().dictionary_encode()
+        core, tail = parts(numbered.dictionary)
+        both = pa.concat_arrays([core, tail]).dictionary_encode()
+        ids = self.ids_of(both.dictionary)
+        n_words, place = len(core), both.indices.to_numpy()
+        # the ids of every distinct word, and of the end as one more
+        pair = np.append(np.stack([place[:n_words], place[n_words:]], 1).ravel(), len(ids))
+        ids = [*ids, np.array([END], "<u4").tobytes()]
+        words, upto = taken(np.frombuffer(b"".join(ids), "<u4"),
+                            np.fromiter(map(len, ids), np.int64, len(ids)) // 4, pair)
+        size = np.diff(np.append(upto[1:-1:2], upto[-1]), prepend=0)
+        count = split.offsets.to_numpy()[1:]                  # words before the end of each text
+        which = np.insert(numbered.indices.to_numpy(), count, n_words)
+        out, behind = taken(words, size, which)
+        ends = (4 * behind[count + np.arange(len(count))]).tolist()
+        raw = out.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path)
+
+
+class Kept:
+    """The encoder of a worker, made when first asked for. Broadcast, it is
+    kept from task to task and let go with the broadcast, so that other stages
+    in the same worker don't carry its memo."""
+
+    def __init__(self, path: str):
+        self.path, self.made = path, None
+
+    def get(self) -> Encoder:
+        if self.made is None:
+            self.made = encoder(self.path)
+        return self.made
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -126,10 +186,11 @@ def pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """The pieces of every document, each with a ``pid`` of its own; written
     once, so that the numbers hold."""
     arrow = arrow_schema(PIECES)
+    shared = docs.sparkSession.sparkContext.broadcast(Kept(tokenizer_path))
 
     def run(batches):
-        enc = encoder(tokenizer_path)
-        for part in slices(batches):
+        enc = shared.value.get()
+        for part in slices(batches, most=TEXT):
             out = []
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode(texts_of(part)),
                                    strict=True):

@@ -97,6 +97,27 @@ def test_words_encode_as_the_whole_text(text):
     assert got == plain(text)
 
 
+def test_a_full_memo_keeps_what_is_met_again(monkeypatch):
+    monkeypatch.setattr(P, "MEMO_WORDS", 8)
+    enc, asked = P.encoder(PATH), []
+    learn = enc.learn
+    monkeypatch.setattr(enc, "learn", lambda words: (asked.extend(words), learn(words))[1])
+    for k in range(12):
+        some = f"often {chr(97 + k)}one {chr(97 + k)}two {chr(97 + k)}three {chr(97 + k)}four"
+        assert np.frombuffer(enc.encode([some])[0], "<u4").tolist() == plain(some)
+    assert asked.count(b"often") == 1
+
+
+def test_encoders_go_with_their_stage():
+    """A worker's encoder hangs on a broadcast, not on the module, where every
+    later stage in that worker would carry its memo."""
+    import pickle
+    held = [v for v in vars(P).values() if isinstance(v, (P.Encoder, dict)) and v is not vars(P)["__builtins__"]]
+    assert not held
+    kept = pickle.loads(pickle.dumps(P.Kept(PATH)))
+    assert kept.get() is kept.get()
+
+
 def test_crossover_keeps_every_piece():
     rng = random.Random(1)
     lengths = [rng.randint(1, 3000) for _ in range(120)]
