@@ -288,9 +288,19 @@ def meetings_of_all(lists: DataFrame) -> DataFrame:
             .where((F.col("i") < F.col("j")) | (F.col("x") < F.col("y"))).drop("s", "i", "j"))
 
 
+SHIFTS = (0, 20, 40)   # a class id is a digest: any bits of it serve the filter
+
+
 def _bits(c: Column) -> Column:
     """The positions of a class in the Bloom filter."""
-    return F.array(*[F.pmod(F.xxhash64(c, F.lit(k)), F.lit(BLOOM_BITS)) for k in range(3)])
+    return F.array(*[F.shiftrightunsigned(c, k).bitwiseAND(F.lit(BLOOM_BITS - 1)) for k in SHIFTS])
+
+
+def _in_bloom(bloom: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Whether class ids pass the filter."""
+    at = np.stack([c.view(np.uint64) >> np.uint64(k) & np.uint64(BLOOM_BITS - 1) for k in SHIFTS])
+    return ((bloom[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32))
+            & np.uint32(1)).all(axis=0)
 
 
 def bodies(docs: DataFrame, lists: DataFrame, salt: int) -> DataFrame:
@@ -307,26 +317,20 @@ def bodies(docs: DataFrame, lists: DataFrame, salt: int) -> DataFrame:
     found = words.toArrow()  # BLOOM_BITS / 32 rows at most
     bloom[found["at"].to_numpy()] = found["on"].to_numpy().astype(np.uint32)
 
-    def run(part: pa.RecordBatch) -> dict:
-        press = zstandard.ZstdCompressor(level=1)
-        words = [words_of(t) for t in texts_of(part)]
-        sets = shingle_sets(words)
-        return {"c": [_class_id(class_key(s, salt)) if len(s) else None for s in sets],
-                "body": [press.compress(b" ".join(w)) for w in words]}
-
-    made = map_rows(docs.select("text"), run, "c long, body binary")
     shared = docs.sparkSession.sparkContext.broadcast(bloom)  # BLOOM_BITS bits
 
-    def hit(batches):
-        filt = shared.value
-        for batch in batches:
-            at = np.stack([batch.column(f"b{k}").to_numpy() for k in range(3)])
-            on = ((filt[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).all(axis=0)
-            yield batch.filter(pa.array(on)).select(["c", "body"])
+    def run(batches):
+        # one Python step makes and filters: two would need twice the workers
+        press = zstandard.ZstdCompressor(level=1)
+        for part in slices(batches):
+            words = [w for w in (words_of(t) for t in texts_of(part)) if w]
+            c = np.array([_class_id(class_key(s, salt)) for s in shingle_sets(words)], np.int64)
+            on = np.flatnonzero(_in_bloom(shared.value, c)).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[on]), pa.array([press.compress(b" ".join(words[k])) for k in on], pa.binary())],
+                names=["c", "body"])
 
-    at = _bits(F.col("c"))
-    named = made.where("c is not null").select("c", "body", *[at[k].alias(f"b{k}") for k in range(3)])
-    kept = named.mapInArrow(hit, "c long, body binary")
+    kept = docs.select("text").mapInArrow(run, "c long, body binary")
     chosen = kept.join(wanted, "c", "left_semi")
     out = stored(chosen.groupBy("c").agg(F.first("body").alias("body")), "jaccard-bodies")
     discard(wanted)

@@ -36,7 +36,7 @@ LEARNING_RATE = 0.1
 L1 = 0.02
 MIN_DOCS = 3                     # training documents that a feature must occur in
 THRESHOLD = 0.7
-MEMO_WORDS = 300_000             # word weights a task remembers at a time
+MEMO_WORDS = 150_000             # word weights a task remembers, about
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 EDGE = ".,;:!?\"'()[]{}<>|*#%&$-_"
@@ -48,18 +48,24 @@ def word_features(word: str) -> tuple[str, ...]:
 
 
 class Weights(dict):
-    """Weight of each token met, looked up once and then remembered."""
+    """Weight of each token met, looked up once and then remembered; when there
+    are too many, those met again stay."""
 
     def __init__(self, theta: dict[str, float]):
         super().__init__()
         self.theta = theta
+        self.older: dict[str, float] = {}
 
     def __missing__(self, token: str) -> float:
-        if len(self) >= MEMO_WORDS:
+        if len(self) >= MEMO_WORDS // 2:
+            self.older = dict(self)
             self.clear()
-        word = token.strip(EDGE)
-        get = self.theta.get
-        self[token] = w = sum(get(f, 0.0) for f in word_features(word)) if word else 0.0
+        w = self.older.get(token)
+        if w is None:
+            word = token.strip(EDGE)
+            get = self.theta.get
+            w = sum(get(f, 0.0) for f in word_features(word)) if word else 0.0
+        self[token] = w
         return w
 
 

@@ -154,3 +154,18 @@ def test_class_ids_that_collide_are_seen(spark):
     assert J.collision(rows.union(spark.createDataFrame([(2, b"c")], rows.schema)))
     a = np.array([5, 9], np.uint64)
     assert J.class_key(a, 0) != J.class_key(a, 1)
+
+
+def test_bodies_are_made_in_one_python_step(spark, monkeypatch):
+    """Two Python steps in a row keep twice the workers, with their memory."""
+    plans, keep = {}, J.stored
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(J, "stored", watched)
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, ""), (4, None)], "doc_id long, text string")
+    assert got(docs) == brute([tuple(r) for r in docs.collect()])
+    assert plans["jaccard-bodies"].count("MapInArrow") == 1
