@@ -32,6 +32,8 @@ THRESHOLD = 0.3
 BINS = 8       # values of one line feature
 N_FEATURES = 9
 WIDTH = N_FEATURES * BINS * 3  # previous, own, next line
+TEXTS = 250       # training documents made into columns at a time
+STRETCH = 16_384  # lines whose weights are looked up at a time
 
 #: Byte classes counted for each line.
 SYMBOL, UPPER, LETTER, DIGIT, BLANK, STOP, SHOUT, BAR = range(8)
@@ -133,17 +135,40 @@ def marginals(alpha: np.ndarray, beta: np.ndarray) -> np.ndarray:
 def unaries(cols: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Score of label good per line (label bad scores 0)."""
     padded = np.append(weights, 0.0)  # column -1
-    good = padded[cols].sum(1)
+    good = np.empty(len(cols))
+    for at in range(0, len(cols), STRETCH):
+        good[at:at + STRETCH] = padded[cols[at:at + STRETCH]].sum(1)
     return np.stack([np.zeros_like(good), good], axis=1)
 
 
+def training_columns(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature columns and document of every line, made from some texts at a
+    time and kept in 16 bits: the driver holds little beside the sample."""
+    cols, doc = [], []
+    for at in range(0, len(texts), TEXTS):
+        bins, own, _ = line_features(texts[at:at + TEXTS])
+        cols.append(design(bins, own).astype(np.int16))
+        doc.append(own + at)
+    return np.concatenate(cols), np.concatenate(doc)
+
+
+def gradient(cols: np.ndarray, err: np.ndarray) -> np.ndarray:
+    """Sum of ``err`` over the lines of every feature column. Every place of
+    ``cols`` has its own BINS columns (or -1)."""
+    g = np.empty(WIDTH)
+    for k in range(cols.shape[1]):
+        own = np.where(cols[:, k] < 0, BINS, cols[:, k] - k * BINS)
+        g[k * BINS:(k + 1) * BINS] = np.bincount(own, err, BINS + 1)[:BINS]
+    return g
+
+
 def train(rows: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
     """(unary weights with a bias at the end, transition matrix)."""
     if len({y for _, y in rows}) < 2:
         return np.zeros(WIDTH + 1), np.zeros((2, 2))
     rows = sorted(rows, key=lambda r: (len(r[0]), r[0], r[1]))
-    bins, doc, size = line_features([t for t, _ in rows])
-    cols, steps = design(bins, doc), chains(doc)
+    cols, doc = training_columns([t for t, _ in rows])
+    steps = chains(doc)
     y_doc = np.array([y for _, y in rows], np.float64)
     y = y_doc[doc]
     lines = np.bincount(doc)
@@ -151,14 +176,14 @@ def train(rows: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
     same = np.flatnonzero(doc[1:] == doc[:-1])
     w, trans = np.zeros(WIDTH + 1), np.zeros((2, 2))
     m, v = np.zeros(WIDTH + 5), np.zeros(WIDTH + 5)
-    flat, n = np.where(cols < 0, WIDTH + 1, cols).ravel(), len(rows)
+    n = len(rows)
     for t in range(1, ROUNDS + 1):
         u = unaries(cols, w[:-1])
         u[:, 1] += w[-1]
         alpha, beta = forward_backward(u, trans, steps)
         good = marginals(alpha, beta)
         err = (y - good) * own
-        g = np.bincount(flat, np.repeat(err, cols.shape[1]), WIDTH + 2)[:WIDTH]
+        g = gradient(cols, err)
         pair = alpha[same][:, :, None] + trans + (u + beta)[same + 1][:, None, :]
         pair = np.exp(pair - np.logaddexp.reduce(pair.reshape(len(same), 4), axis=1)[:, None, None])
         hit = np.zeros_like(pair)

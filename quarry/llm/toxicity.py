@@ -35,6 +35,7 @@ ROUNDS = 120
 LEARNING_RATE = 0.1
 L1 = 0.02
 MIN_DOCS = 3                     # training documents that a feature must occur in
+STRETCH = 200_000                # words of the training sample taken at a time
 THRESHOLD = 0.7
 MEMO_WORDS = 150_000             # word weights a task remembers, about
 
@@ -99,6 +100,16 @@ def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-softplus(logits).sum())) if len(logits) else 0.0
 
 
+def stretches(sent: np.ndarray, doc: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the words of some whole documents at a time (STRETCH words,
+    about); ``sent`` is the sentence of each word, ``doc`` the document of each
+    sentence, both rising."""
+    first = np.searchsorted(sent, np.flatnonzero(np.diff(doc, prepend=-1)))
+    ends = np.append(first, len(sent))
+    cuts = np.unique(ends[np.searchsorted(ends, np.arange(0, len(sent) + STRETCH, STRETCH).clip(max=len(sent)))])
+    return list(zip(cuts.tolist(), cuts[1:].tolist(), strict=False))
+
+
 def train(rows: list[tuple[str, int]]) -> Model:
     """Full-batch Adam on the noisy-or log loss of the documents."""
     if len({y for _, y in rows}) < 2:
@@ -117,11 +128,13 @@ def train(rows: list[tuple[str, int]]) -> Model:
                          np.int64, 5 * len(vocab))        # names only within this call
     names, feats = np.unique(hashes, return_inverse=True)
     feats = feats.reshape(-1, 5).astype(np.int32)
-    pairs = np.unique(doc[sent].astype(np.int64) * len(vocab) + word)
     in_docs = np.zeros(len(names), np.int32)
-    for k in range(5):  # a feature of one kind: once per document
-        held = np.unique(pairs // len(vocab) * len(names) + feats[pairs % len(vocab), k])
-        in_docs += np.bincount(held % len(names), minlength=len(names)).astype(np.int32)
+    parts = stretches(sent, doc)
+    for a, b in parts:
+        pairs = np.unique(doc[sent[a:b]].astype(np.int64) * len(vocab) + word[a:b])
+        for k in range(5):  # a feature of one kind: once per document
+            held = np.unique(pairs // len(vocab) * len(names) + feats[pairs % len(vocab), k])
+            in_docs += np.bincount(held % len(names), minlength=len(names)).astype(np.int32)
     used = np.flatnonzero(in_docs >= MIN_DOCS)
     place = np.full(len(names), len(used))                # the last slot: rare, weight 0
     place[used] = np.arange(len(used))
@@ -132,12 +145,18 @@ def train(rows: list[tuple[str, int]]) -> Model:
     m1, v1 = np.zeros(n_slot + 1), np.zeros(n_slot + 1)
     for t in range(1, ROUNDS + 1):
         u = theta[slot].sum(1)
-        z = np.bincount(sent, u[word], n_sent) + bias
+        z = np.empty(n_sent)
+        for a, b in parts:
+            first, last = sent[a], sent[b - 1] + 1
+            z[first:last] = np.bincount(sent[a:b] - first, u[word[a:b]], last - first)
+        z += bias
         q = -np.bincount(doc, softplus(z), n)             # log P(clean)
         p_clean = np.exp(q)
         share = np.where(y > 0, -p_clean / np.maximum(1 - p_clean, 1e-9), 1.0)
         dz = share[doc] / (1 + np.exp(-np.clip(z, -500, None))) / n
-        du = np.bincount(word, dz[sent], len(vocab))
+        du = np.zeros(len(vocab))
+        for a, b in parts:
+            np.add.at(du, word[a:b].astype(np.intp), dz[sent[a:b]])
         g = np.bincount(slot.ravel(), np.repeat(du, 5), n_slot + 1)
         g[-1] = dz.sum()
         m1, v1 = 0.9 * m1 + 0.1 * g, 0.99 * v1 + 0.01 * g * g

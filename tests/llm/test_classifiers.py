@@ -81,3 +81,39 @@ def test_stages_keep_columns_and_rows(spark):
     kept = T.clean_documents(docs, labels)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {i for i, p in scored.items() if not p}
+
+
+def test_training_holds_little_beside_its_sample(monkeypatch):
+    import tracemalloc
+    for op in (T, Q):
+        monkeypatch.setattr(op, "ROUNDS", 2)
+    rng = np.random.default_rng(3)
+    names = np.array([f"w{k}" for k in range(3000)])
+    rows = [("\n".join(" ".join(rng.choice(names, 30)) + "." for _ in range(30)), k % 2)
+            for k in range(1500)]
+    for op, most in ((Q, 800), (T, 900)):
+        tracemalloc.start()
+        op.train(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * 1500 * 30  # bytes for each of the lines
+
+
+def test_sums_by_parts_are_those_of_the_whole():
+    rng = np.random.default_rng(5)
+    doc = np.sort(rng.integers(0, 50, 400))
+    cols = Q.design(rng.integers(0, Q.BINS, (400, Q.N_FEATURES)), doc).astype(np.int16)
+    err = rng.normal(size=400)
+    flat = np.where(cols < 0, Q.WIDTH + 1, cols).ravel()
+    whole = np.bincount(flat, np.repeat(err, cols.shape[1]), Q.WIDTH + 2)[:Q.WIDTH]
+    assert (Q.gradient(cols, err) == whole).all()
+    sent = np.sort(np.concatenate([np.arange(400), rng.integers(0, 400, 900)]))
+    T_STRETCH, T.STRETCH = T.STRETCH, 100
+    try:
+        parts = T.stretches(sent, doc)
+    finally:
+        T.STRETCH = T_STRETCH
+    assert len(parts) > 5 and parts[0][0] == 0 and parts[-1][1] == len(sent)
+    assert all(b == c for (_, b), (c, _) in zip(parts, parts[1:], strict=False))
+    assert all(doc[sent[b - 1]] < doc[sent[b]] for _, b in parts[:-1])
+    assert T.stretches(sent[:0], doc[:0]) == []
