@@ -288,7 +288,9 @@ def filled(marked: bytes, rare: list[list[int]]) -> np.ndarray:
 def op4_byte_bpe(docs: DataFrame) -> DataFrame:
     import public_tokenizers
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    # written first: a task that marks and digests at once needs two Python workers
+    encoded = stored(encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+                     .select("doc_id", "marked", "rare_ids"), "bpe-ids", "zstd")
     schema = arrow_schema("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     pieces = np.empty(max(ranks.values()) + 1, object)
     for token, rank in ranks.items():
@@ -309,5 +311,5 @@ def op4_byte_bpe(docs: DataFrame) -> DataFrame:
                             "decoded_sha256": hashlib.sha256(back).hexdigest()})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return encoded.select("doc_id", "marked", "rare_ids").mapInArrow(
+    return encoded.mapInArrow(
         digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

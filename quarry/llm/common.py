@@ -23,17 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> str:
-    """Write ``df`` as Parquet below ``spark.checkpoint.dir``; the path."""
+def written(df: DataFrame, name: str, compression: str | None = None) -> str:
+    """Write ``df`` as Parquet below ``spark.checkpoint.dir``; the path.
+    ``compression``: another one than the session's."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back:
     cuts the lineage with files that survive a lost executor."""
-    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name, compression))
 
 
 def discard(*tables: DataFrame) -> None:

@@ -42,6 +42,11 @@ def test_odd_rows(spark):
     assert B.op4_byte_bpe(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_a_task_needs_one_python_worker(spark):
+    made = B.op4_byte_bpe(frame(spark, ODD[:3]))
+    assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_rank_map_finds_every_pair():
     m = B.RankMap(RANKS)
     pairs = [(RANKS[t[:k]], RANKS[t[k:]], r) for t, r in list(RANKS.items())[:5000]
