@@ -35,11 +35,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from quarry.llm.common import slices, stored, texts_of
+from quarry.llm.packing import bytes_of, taken
 
 WINDOW = 1024
 END = 0                   # id after every document
@@ -47,6 +49,8 @@ SHARD = 1024              # pieces of a shard
 TASK_SHARDS = 4           # shards of a packing task, about
 LOOK = 16                 # neighbours of which the first that fits is taken
 K1, B = 1.2, 0.75
+KEEP = 0.75               # share of a shard's pieces unused at which the others leave its index
+TEXT = 4_000_000          # characters of text encoded at a time
 MEMO_WORDS = 700_000      # encoded words a worker remembers at a time
 SPECIAL = "<|endoftext|>"
 
@@ -75,7 +79,7 @@ class Encoder:
             raise ValueError(f"ids up to {top} don't fit 16 bits")
         self.begins = np.zeros(top + 1, bool)  # ids that begin with a blank
         self.begins[[i for b, i in table.items() if b[:1] == b" "]] = True
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[bytes, bytes] = {}  # by UTF-8
 
     def ids(self, text: str) -> np.ndarray:
         try:
@@ -86,31 +90,59 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return self.special.join(self.ids(part).tobytes() for part in text.split(SPECIAL))
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         """Remember the ids of the words, each with a blank before it."""
         for at in range(0, len(words), 20_000):
             some = words[at:at + 20_000]
-            ids = self.ids(" " + " ".join(some))
+            ids = self.ids((b" " + b" ".join(some)).decode())
             starts = np.flatnonzero(self.begins[ids])
             if len(starts) != len(some):
-                self.memo.update((w, self.ids(" " + w).tobytes()) for w in some)
+                self.memo.update((w, self.ids((b" " + w).decode()).tobytes()) for w in some)
                 continue
             raw, ends = ids.tobytes(), np.append(starts * 2, 2 * len(ids)).tolist()
             self.memo.update(zip(some, (raw[a:b] for a, b in zip(ends, ends[1:], strict=False)),
                                  strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [None if _ODD.search(t) or SPECIAL in t else t.split(" ") for t in texts]
+        """Ids of whole texts with the end id."""
+        odd = [bool(_ODD.search(t)) or SPECIAL in t for t in texts]
+        cut = iter(self.of_words([t for t, o in zip(texts, odd, strict=True) if not o]))
+        end = np.array([END], "<u2").tobytes()
+        return [self.whole(t) + end if o else next(cut) for t, o in zip(texts, odd, strict=True)]
+
+    def of_words(self, texts: list[str]) -> list[bytes]:
+        """The same of texts that may be cut at every blank. Arrow cuts them and
+        numbers their words; Python sees the distinct words only, and every text's
+        first one, which has no blank before it."""
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        numbered = split.flatten().dictionary_encode()
+        which, upto = numbered.indices.to_numpy(), split.offsets.to_numpy()
+        heads, words = upto[:-1], bytes_of(numbered.dictionary)
+        used = np.zeros(len(words), bool)
+        used[np.delete(which, heads)] = True
+        used = np.flatnonzero(used).tolist()
+        words = [words[k] for k in used]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        new = set()
-        for w in words:
-            if w:
-                new.update(w[1:])
-        self.learn(list(new.difference(self.memo)))
-        get, end = self.memo.__getitem__, np.array([END], "<u2").tobytes()
-        return [(self.ids(w[0]).tobytes() + b"".join(map(get, w[1:])) if w else self.whole(t)) + end
-                for t, w in zip(texts, words, strict=True)]
+        ids = list(map(self.memo.get, words))
+        gaps = [k for k, x in enumerate(ids) if x is None]
+        self.learn([words[k] for k in gaps])
+        for k in gaps:
+            ids[k] = self.memo[words[k]]
+        place = np.zeros(len(numbered.dictionary), np.int64)
+        place[used] = np.arange(len(used))
+        which = place[which]
+        which[heads] = len(ids) + np.arange(len(texts))
+        ids += [self.ids(t.split(" ", 1)[0]).tobytes() for t in texts]
+        which = np.insert(which, upto[1:], len(ids))
+        ids.append(np.array([END], "<u2").tobytes())
+        out, behind = taken(np.frombuffer(b"".join(ids), "<u2"),
+                            np.fromiter(map(len, ids), np.int64, len(ids)) // 2, which)
+        ends = (2 * behind[upto[1:] + np.arange(len(texts))]).tolist()
+        raw = out.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}  # one per worker process, reused by its tasks
@@ -154,7 +186,7 @@ def encoded(docs: DataFrame, ranks: str, tokenizer: str) -> DataFrame:
         from pyspark import TaskContext
         enc, order = encoder(ranks, tokenizer), clocks()
         number = TaskContext.get().partitionId() << 33
-        for part in slices(batches):
+        for part in slices(batches, most=TEXT):
             rows, of = [], []
             for at, raw in enumerate(enc.encode(texts_of(part))):
                 ids = np.frombuffer(raw, "<u2")
@@ -231,6 +263,12 @@ class Shard:
         self.first = np.searchsorted(own, np.arange((1 << 16) + 1))
         self.count = len(pieces)
 
+    def keep(self, unused: np.ndarray) -> None:
+        """Only the weights of unused pieces; their scores stay the same."""
+        on = unused[self.of]
+        self.first = np.append(0, np.cumsum(on))[self.first]
+        self.of, self.weight = self.of[on], self.weight[on]
+
     def scores(self, ids: np.ndarray) -> np.ndarray:
         """BM25 of every piece for the distinct ids of a seed."""
         seed = np.unique(ids)
@@ -246,7 +284,7 @@ def fill(pieces: list[Piece], stats: Statistics) -> Iterator[list[Piece]]:
     index = Shard(pieces, stats)
     pieces, sizes = list(pieces), np.array([len(p.ids) for p in pieces])
     unused = np.ones(len(pieces), bool)
-    left, at, seed = int(sizes.sum()), 0, None
+    left, at, seed, held = int(sizes.sum()), 0, None, len(pieces)
     while left >= WINDOW:
         if seed is None:
             while not unused[at]:
@@ -254,8 +292,11 @@ def fill(pieces: list[Piece], stats: Statistics) -> Iterator[list[Piece]]:
             seed, unused[at] = pieces[at], False
         window, room = [seed], WINDOW - len(seed.ids)
         seed = None
-        score = index.scores(window[0].ids)
         free = np.flatnonzero(unused)
+        if len(free) < KEEP * held:
+            index.keep(unused)
+            held = len(free)
+        score = index.scores(window[0].ids)
         best = free[np.argsort(-score[free], kind="stable")]
         while room:
             near = best[:LOOK]

@@ -144,3 +144,35 @@ def test_pieces_with_ids(spark, tokenizer):
     of = {i: library(tokenizer, prose(i, 80)) for i in range(60)}
     assert rows and all(np.frombuffer(r.ids, "<u2").tolist() == of[r.doc_id][r.start:r.start + r.length]
                         for r in rows if r.ids is not None)
+
+
+def test_a_word_that_repeats_is_looked_up_once():
+    class Memo(dict):
+        looked = 0
+
+        def get(self, *key):
+            self.looked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            self.looked += 1
+            return super().__getitem__(key)
+
+    enc = R.Encoder(RANKS, JSON)
+    texts = ["one two three " * 500 + "four", " begins with a blank", "alone", "", "\n\nodd one\ttwo x", "é two Ωmega"]
+    plain = [enc.whole(t) + b"\0\0" for t in texts]
+    enc.memo = Memo()
+    assert enc.encode(texts) == plain
+    assert enc.memo.looked < 60  # 1,500 words and more
+    assert enc.encode(texts[::-1]) == plain[::-1] and enc.encode([]) == []
+
+
+def test_index_without_used_pieces_gives_the_same_scores():
+    rng = np.random.default_rng(2)
+    pieces = [R.Piece(k, 0, rng.integers(0, 300, 80).astype("<u2"), 80) for k in range(60)]
+    stats = R.Statistics(rng.random(1 << 16), 80.0)
+    index, unused = R.Shard(pieces, stats), rng.random(60) < 0.4
+    before, size = [index.scores(p.ids)[unused] for p in pieces], len(index.of)
+    index.keep(unused)
+    assert len(index.of) < size / 2
+    assert all((index.scores(p.ids)[unused] == s).all() for p, s in zip(pieces, before, strict=True))
