@@ -139,3 +139,33 @@ def test_equal_queries_are_searched_once(spark, monkeypatch):
     top = SE.submit(queries, ix, mode="bm25").where("query_id < 40")
     assert sorted((r.url, r.rank) for r in top.collect()) == sorted(red * 40)
     assert seen == [4] * 3  # red, blue red, blue, purple
+
+
+def test_groups_are_analyzed_once(spark):
+    g = spark.createDataFrame([(1, 0, "title", "a b"), (1, 1, "title", "b a"), (1, 2, "content", "tokens")],
+                              "query_id long, group_id int, field string, text string")
+    rows = SE.analyze_groups(g, stem=False)
+    assert "Generate" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in rows.collect()) == [
+        (1, 0, "title", "a"), (1, 0, "title", "b"), (1, 2, "content", "tokens")]
+
+
+def test_pages_stay_where_they_are(spark):
+    from tests.conftest import SF001
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")
+    again = pages.where("page_id < 3").withColumn("page_id", F.lit(None).cast("long"))
+    twice = pages.where("page_id = 5")
+    rows = pages.unionByName(again).unionByName(twice)
+    rows = rows.unionByName(again.limit(1).withColumn("url", F.lit(None).cast("string")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # less than the pages
+    try:
+        kept = IX.one_per_url(rows)
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.page_id, r._copies) for r in kept.collect())
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many such URLs
+        assert sorted((r.page_id, r._copies) for r in IX.one_per_url(rows).collect()) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    n = pages.count()
+    assert got == sorted([(i, 2 if i == 5 else 1) for i in range(n)] + [(5, 2)])
