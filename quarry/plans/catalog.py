@@ -33,9 +33,9 @@ def flagship(spark, sf_dir):
     from quarry.functions.constants import PAGE_LEN
     from quarry.operators import search as SE
     from quarry.plans.graph import page_ranks
-    from quarry.plans.searching import stored_index, title_query_table
+    from quarry.plans.searching import title_index, title_query_table
 
-    ix = stored_index(spark, sf_dir)
+    ix = title_index(spark, sf_dir)
     qterms = SE.analyze_groups(SE.title_queries(title_query_table(spark, sf_dir)),
                                stem=False, dedup_groups=False)
     scored = SE.score(SE.match_groups(qterms, ix), "both", page_ranks(spark, sf_dir))

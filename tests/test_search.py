@@ -169,3 +169,15 @@ def test_pages_stay_where_they_are(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     n = pages.count()
     assert got == sorted([(i, 2 if i == 5 else 1) for i in range(n)] + [(5, 2)])
+
+
+def test_title_searches_index_titles_only(spark, monkeypatch):
+    from quarry.plans import searching as PS
+    from tests.conftest import SF001
+    made = []
+    monkeypatch.setattr(PS, "_OPEN", {})
+    monkeypatch.setattr(PS, "path_exists", lambda *a: True)
+    monkeypatch.setattr(PS.SI, "open_index", lambda spark, path: made.append(path))
+    PS.title_index(spark, SF001)
+    PS.both_fields_index(spark, SF001)
+    assert "content" not in made[0] and "content" in made[1]
