@@ -122,3 +122,17 @@ def test_repeated_rows_count_once(spark, pages):
     other = pages.limit(1).withColumn("page_id", F.lit(None).cast("long")).withColumn("url", F.lit("http://null.id/"))
     want = IX.build_index(pages.unionByName(other), stem=False)
     same(IX.build_index(pages.unionByName(pages).unionByName(again).unionByName(other), stem=False), want)
+
+
+def test_text_is_tokenised_once(spark):
+    """The text of a page is worked out once: neither the filter that a
+    generator brings nor the length repeats it."""
+    from quarry.operators import index as IX
+    pages = spark.createDataFrame([(1, "u", "<title>a &amp; b</title><p>red &lt; red</p>"), (2, "v", None)],
+                                  "page_id long, url string, html string")
+    for field in ("title", "content"):
+        terms = IX.field_terms(IX.page_fields(pages), (field,))
+        plan = terms._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1
+    got = sorted((r.field, r.url, r.term, r.len) for r in IX.field_terms(IX.page_fields(pages)).collect())
+    assert got == [("content", "u", "red", 2), ("content", "u", "red", 2), ("title", "u", "a", 2), ("title", "u", "b", 2)]
