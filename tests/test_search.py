@@ -181,3 +181,18 @@ def test_title_searches_index_titles_only(spark, monkeypatch):
     PS.title_index(spark, SF001)
     PS.both_fields_index(spark, SF001)
     assert "content" not in made[0] and "content" in made[1]
+
+
+def test_results_of_a_class_are_dealt_in_cells(spark, monkeypatch):
+    """A class of many queries and many results is cut both ways; every query
+    gets every result once."""
+    monkeypatch.setattr(SE, "MEMBER_ROWS", 3)
+    monkeypatch.setattr(SE, "RESULT_ROWS", 2)
+    members = spark.createDataFrame([(i, i // 10) for i in range(12)] + [(None, 0), (99, 7)],
+                                    "query_id long, qclass long")
+    results = spark.createDataFrame([(c, f"u{r}", r) for c, n in ((0, 5), (1, 1)) for r in range(1, n + 1)],
+                                    "query_id long, url string, rank int")
+    got = sorted((-1 if r.query_id is None else r.query_id, r.url, r["rank"])
+                 for r in SE.for_members(results, members).collect())
+    assert got == sorted([(q, f"u{r}", r) for q in [*range(10), -1] for r in range(1, 6)]
+                         + [(q, "u1", 1) for q in (10, 11)])
